@@ -23,19 +23,6 @@ def next_batch(frontier: DataFrame, urls_table: DataFrame, at: Column, size: int
     return picked.limit(size).withColumn("status", F.lit("fetching"))
 
 
-def mark_fetching(frontier: DataFrame, picked: DataFrame) -> DataFrame:
-    """The frontier snapshot after a batch was picked."""
-    marks = picked.select("url", F.lit(True).alias("_picked"))
-    return frontier.join(marks, "url", "left").select(
-        *(
-            F.when(F.col("_picked"), F.lit("fetching")).otherwise(F.col(c)).alias(c)
-            if c == "status"
-            else F.col(c)
-            for c in frontier.columns
-        )
-    )
-
-
 def politeness_slots(candidates: DataFrame, profile: SiteProfile) -> DataFrame:
     """Earliest fetch offset in seconds of each candidate (url, host, priority, depth).
 
@@ -64,10 +51,8 @@ def politeness_audit(
         hosted, ["host"], ["attempted_at", tie], "attempted_at", "previous_at"
     )
     too_soon = F.col("attempted_at") < F.col("previous_at") + F.make_dt_interval(secs=gap)
-    return logged.filter(too_soon).withColumn(
-        "elapsed_sec",
-        F.expr("timestampdiff(MICROSECOND, previous_at, attempted_at)") / F.lit(1e6),
-    )
+    elapsed = F.timestamp_diff("MICROSECOND", F.col("previous_at"), F.col("attempted_at"))
+    return logged.filter(too_soon).withColumn("elapsed_us", elapsed)
 
 
 def attempt_rows(results: DataFrame) -> DataFrame:
@@ -100,50 +85,52 @@ def block_disallowed(results: DataFrame, profile: SiteProfile) -> DataFrame:
     )
 
 
-def fold_attempts(attempts: DataFrame, profile: SiteProfile, tie: str | None = None) -> DataFrame:
-    """Final state per URL after its attempts, in time order.
+def first_attempts(attempts: DataFrame, profile: SiteProfile, tie: str) -> DataFrame:
+    """The attempts that can decide a URL's state: its first ``max_attempts`` in time.
+
+    A URL ends with its first success or its last allowed failure, so later ones never
+    matter. The rank filter is applied per task before the shuffle and again after it:
+    a URL with very many attempts costs a few rows per task.
+    """
+    in_order = W.partitionBy("url").orderBy("attempted_at", tie)
+    ranked = attempts.withColumn("_rank", F.row_number().over(in_order))
+    return ranked.filter(F.col("_rank") <= profile.max_attempts)
+
 
-    ``attempts``: url, attempted_at, success, error_message and, optionally, what the
-    frontier held before: attempt_count, next_fetch_at, last_error (equal on all rows
-    of a URL). The result has url, status, attempt_count, next_fetch_at, last_error,
-    terminal_at (time of the attempt that ended it) and attempts_used.
+def fold_attempts(attempts: DataFrame, profile: SiteProfile, tie: str) -> DataFrame:
+    """Final state per URL after its attempts, in (time, ``tie``) order.
 
-    A URL ends with its first success or its last allowed failure, so at most
-    ``max_attempts`` attempts of it matter. Only those are kept, per task before the
-    shuffle and again after it: a URL with very many attempts costs a few rows per task.
+    ``attempts``: url, attempted_at, ``tie``, success, error_message and, optionally,
+    what the frontier held before: attempt_count, next_fetch_at, last_error (equal on
+    all rows of a URL). The result has url, status, attempt_count, next_fetch_at,
+    last_error, updated_at (time of the attempt last used) and last_used (its tie).
     """
-    zero, never = F.lit(0), F.lit(None).cast("timestamp")
-    have = set(attempts.columns)
-    rows = attempts.select(
+    earlier = {"attempt_count": F.lit(0), "next_fetch_at": F.lit(None).cast("timestamp")}
+    earlier["last_error"] = F.lit(None).cast("string")
+    relevant = first_attempts(attempts, profile, tie).select(
         "url",
+        "_rank",
         "attempted_at",
-        (F.col(tie) if tie else F.lit(0)).alias("tie"),
+        F.col(tie).alias("tie"),
         "success",
         "error_message",
-        (F.col("attempt_count") if "attempt_count" in have else zero).alias("failed_before"),
-        (F.col("next_fetch_at") if "next_fetch_at" in have else never).alias("due_before"),
-        (F.col("last_error") if "last_error" in have else F.lit(None).cast("string")).alias(
-            "error_before"
+        *(
+            (F.col(c) if c in attempts.columns else absent).alias(f"{c}_before")
+            for c, absent in earlier.items()
         ),
     )
-    in_order = W.partitionBy("url").orderBy("attempted_at", "tie", "error_message")
-    relevant = rows.withColumn("_rank", F.row_number().over(in_order)).filter(
-        F.col("_rank") <= profile.max_attempts
-    )
     per_url = relevant.groupBy("url").agg(
         F.array_sort(
-            F.collect_list(F.struct("_rank", "attempted_at", "success", "error_message"))
+            F.collect_list(F.struct("_rank", "attempted_at", "tie", "success", "error_message"))
         ).alias("log"),
-        F.first("failed_before").alias("failed_before"),
-        F.first("due_before").alias("due_before"),
-        F.first("error_before").alias("error_before"),
+        *(F.first(f"{c}_before").alias(f"{c}_before") for c in earlier),
     )
 
-    log, before = F.col("log"), F.col("failed_before")
+    log, before = F.col("log"), F.col("attempt_count_before")
     first_success = F.array_position(F.transform("log", lambda a: a["success"]), True)
     failures = F.when(first_success > 0, first_success - 1).otherwise(F.size(log)).cast("int")
     allowed = F.greatest(F.lit(profile.max_attempts) - before, F.lit(1))
-    counted = per_url.withColumn("failures", F.least(failures, allowed)).withColumn(
+    decided = per_url.withColumn("failures", F.least(failures, allowed)).withColumn(
         "status",
         F.when(F.col("failures") >= allowed, "failed")
         .when(first_success > 0, "done")
@@ -154,19 +141,18 @@ def fold_attempts(attempts: DataFrame, profile: SiteProfile, tie: str | None = N
     last_wait = F.get(log, waits - 1)["attempted_at"]
     used = F.col("failures") + F.when(F.col("status") == "done", 1).otherwise(0)
     last_used = F.get(log, used - 1)
-    return counted.select(
+    return decided.select(
         "url",
         "status",
         (before + F.col("failures")).alias("attempt_count"),
         F.when(waits > 0, text.retry_at(last_wait, before + waits - 1, profile))
-        .otherwise(F.col("due_before"))
+        .otherwise(F.col("next_fetch_at_before"))
         .alias("next_fetch_at"),
         F.when(F.col("status") == "failed", last_used["error_message"])
-        .otherwise(F.col("error_before"))
+        .otherwise(F.col("last_error_before"))
         .alias("last_error"),
-        F.when(F.col("status") != "queued", last_used["attempted_at"]).alias("terminal_at"),
         last_used["attempted_at"].alias("updated_at"),
-        used.alias("attempts_used"),
+        last_used["tie"].alias("last_used"),
     )
 
 
@@ -183,15 +169,12 @@ def within_budget(
 
 
 def apply_states(frontier: DataFrame, states: DataFrame) -> DataFrame:
-    """Frontier rows with the folded states written over them (rows without one stay)."""
-    changed = ["status", "attempt_count", "next_fetch_at", "last_error", "updated_at"]
-    new = states.select("url", F.struct(*changed).alias("_new"))
-    merged = frontier.join(new, "url", "left")
-    return merged.select(
-        *(
-            F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
-            if c in changed
-            else F.col(c)
-            for c in schemas.FRONTIER.fieldNames()
-        )
-    )
+    """The frontier rows that have a folded state, with that state written over them."""
+    changed = {"status", "attempt_count", "next_fetch_at", "last_error", "updated_at"}
+    kept = frontier.drop(*changed)
+    return kept.join(states.select("url", *changed), "url").select(*schemas.FRONTIER.fieldNames())
+
+
+def replace_rows(table: DataFrame, changes: DataFrame) -> DataFrame:
+    """A new snapshot: rows of ``changes`` replace rows of the same URL or are added."""
+    return table.join(changes.select("url"), "url", "left_anti").unionByName(changes)

@@ -12,12 +12,13 @@ from linkloom.profile import SiteProfile
 from linkloom.scratch import stage
 
 
-def link_rows(parsed_pages: DataFrame, profile: SiteProfile) -> DataFrame:
+def link_rows(parsed_pages: DataFrame, profile: SiteProfile, *carry: str) -> DataFrame:
     """Rows of the links table: one per anchor occurrence, repeats kept.
 
-    ``parsed_pages`` holds stored pages with url, fetched_at and page_links.
+    ``parsed_pages`` holds stored pages with url, fetched_at and page_links. Further
+    page columns to repeat on each row are named in ``carry``.
     """
-    edges = explode_links(parsed_pages, profile, "url", "fetched_at")
+    edges = explode_links(parsed_pages, profile, "url", "fetched_at", *carry)
     return edges.select(
         F.col("url").alias("from_url"),
         "pos",
@@ -26,6 +27,7 @@ def link_rows(parsed_pages: DataFrame, profile: SiteProfile) -> DataFrame:
         "is_internal",
         F.lit(False).alias("nofollow"),
         F.col("fetched_at").alias("discovered_at"),
+        *carry,
     )
 
 
