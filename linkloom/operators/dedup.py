@@ -37,16 +37,19 @@ def rejected_urls(found: DataFrame) -> DataFrame:
     )
 
 
+def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The first row of each key in the given order. The rank filter is applied before
+    the shuffle too, so a key with very many rows sends one row per input task."""
+    in_order = W.partitionBy(key).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(in_order)).filter("_rank = 1").drop("_rank")
+
+
 def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row of each key in the given order; rows without a key all stay.
+    """The first row of each key; rows without a key all stay and are not shuffled.
 
-    Rows without a key stay out of the window, so they never meet in one task. The
-    rank filter is applied before the shuffle too, so a key with very many copies
-    sends one row per input task. ``df`` is read twice: stage it when it is costly.
+    ``df`` is read twice: stage it when it is costly.
     """
-    ranked = W.partitionBy(key).orderBy(*order)
-    keyed = df.filter(F.col(key).isNotNull())
-    first = keyed.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+    first = first_per_key(df.filter(F.col(key).isNotNull()), key, order)
     return first.unionByName(df.filter(F.col(key).isNull()))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import urls
 from linkloom.operators.dedup import first_contents
 from linkloom.operators.html import explode_links
+from linkloom.operators.lookup import broadcast_if_small
 from linkloom.profile import SiteProfile
 from linkloom.scratch import stage
 
@@ -45,8 +46,10 @@ def breadth_first(
     of pages with equal content only the first by (depth, URL). Without ``pages``
     every reached URL follows its links.
 
-    At most ``max_depth`` rounds, each one join of the new level with the edges. Each
-    level is written once, which keeps the plan short and survives lost executors.
+    At most ``max_depth`` rounds, each one join of the new level with the edges, without
+    shuffling them while the level is small. Each level is written once, which keeps the
+    plan short and survives lost executors. ``edges`` are read once per round: stage
+    them when they are costly.
     Offers are reduced to one row per target before the visited lookup, so a target
     that very many pages link to costs one row per task; a source with very many
     links is split by the adaptive skew join.
@@ -60,14 +63,16 @@ def breadth_first(
     visited, seen_hashes = level, None
     links = edges.filter(F.col("from_url") != F.col("to_url"))
     for depth in range(profile.max_depth):
-        expanding = level.select("url")
+        expanding = level
         if pages is not None:
-            fetched = stage(level.join(pages, "url").select("url", "content_hash"), "fetched")
+            fetched = level.select("url").join(pages.select("url", "content_hash"), "url")
+            fetched = stage(fetched, "fetched")
             kept = stage(first_contents(fetched, ["url"], seen_hashes), "kept")
             hashes = kept.select("content_hash")
             seen_hashes = hashes if seen_hashes is None else seen_hashes.unionByName(hashes)
-            expanding = kept.select("url")
-        offers = links.join(expanding.withColumnRenamed("url", "from_url"), "from_url")
+            expanding = kept
+        sources = expanding.select(F.col("url").alias("from_url"))
+        offers = links.join(broadcast_if_small(sources, "from_url"), "from_url")
         if crawlable_only:
             offers = offers.filter(urls.should_crawl(F.col("to_url"), profile))
         reached = (

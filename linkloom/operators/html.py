@@ -8,6 +8,7 @@ relational.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -269,13 +270,20 @@ def explode_links(parsed: DataFrame, profile: SiteProfile, *keep: str) -> DataFr
             urls.is_internal_url(link["first"], profile).alias("is_internal"),
         )
 
-    # Canonicalised inside the array: a filter on the exploded rows then reads a plain
-    # column, where a later projection would be computed once more for the filter.
-    links = F.transform(F.transform("page_links", canonical), stored)
+    def checked(link: Column) -> Column:
+        admitted = urls.rejection_reason(link["to_url"]).isNull()
+        return F.struct(
+            *(link[c].alias(c) for c in ("to_url", "anchor_text", "is_internal")),
+            admitted.alias("admitted"),
+        )
+
+    # Computed inside the array, so that filters and joins further on read plain fields
+    # instead of computing the URL expressions again.
+    links = reduce(F.transform, (canonical, stored, checked), F.col("page_links"))
     return (
         parsed.select(*keep, F.posexplode(links).alias("pos", "link"))
-        .select(*keep, "pos", "link.*")
-        .filter(urls.rejection_reason(F.col("to_url")).isNull())
+        .filter("link.admitted")
+        .select(*keep, "pos", "link.to_url", "link.anchor_text", "link.is_internal")
     )
 
 

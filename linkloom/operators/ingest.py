@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import text, urls
 from linkloom.operators import dedup, frontier as fr, graph
 from linkloom.operators.html import parse_pages
+from linkloom.operators.lookup import broadcast_if_small, near
 from linkloom.profile import SiteProfile
 from linkloom.scratch import stage
 from linkloom.sources.tables import CrawlTables
@@ -72,7 +73,9 @@ def apply_results(
         profile,
         "result_id",
     ).drop("_rank")
-    still_open = tables.frontier.filter(F.col("status").isin("queued", "fetching"))
+    batch_urls = stage(parsed.select("url").distinct(), "batch_urls")
+    entries = near(tables.frontier, batch_urls, "url")
+    still_open = entries.filter(F.col("status").isin("queued", "fetching"))
     states = stage(
         fr.fold_attempts(
             deciding.join(
@@ -91,31 +94,37 @@ def apply_results(
         .join(ended, "result_id")
         .join(depths, "url")
     )
+    fetched = stage(fetched, "fetched")
+    known_hashes = near(tables.pages.select("content_hash"), fetched, "content_hash")
     stored = stage(
-        dedup.first_contents(
-            stage(fetched, "fetched"), ["fetched_at", "url"], tables.pages.select("content_hash")
-        ),
-        "stored",
+        dedup.first_contents(fetched, ["fetched_at", "url"], known_hashes), "stored"
     )
 
-    pages = dedup.page_rows(parsed.join(stored.select("result_id"), "result_id", "left_semi"))
+    # The only join that bodies take part in: with stored ids small enough to broadcast
+    # they are not shuffled.
+    kept = broadcast_if_small(stored, "result_id")
+    pages = dedup.page_rows(parsed.join(kept.select("result_id"), "result_id", "left_semi"))
     linking = parsed.select("result_id", "page_links").join(
-        stored.select("result_id", "url", "fetched_at", "depth"), "result_id"
+        kept.select("result_id", "url", "fetched_at", "depth"), "result_id"
     )
     edges = stage(graph.link_rows(linking, profile, "depth"), "edges")
     links = edges.drop("depth")
-    found = edges.select(F.col("to_url").alias("url"), "discovered_at")
+    targets = stage(
+        edges.groupBy(F.col("to_url").alias("url")).agg(F.min("discovered_at").alias("discovered_at")),
+        "targets",
+    )
     offers = edges.select(
         F.col("to_url").alias("url"),
         F.col("from_url").alias("discovered_from"),
         F.col("depth").alias("parent_depth"),
         "discovered_at",
     )
-    changes = fr.apply_states(tables.frontier, states).unionByName(
-        dedup.expand_frontier(offers, tables.frontier, profile)
+    offered = near(tables.frontier, targets, "url")
+    changes = fr.apply_states(entries, states).unionByName(
+        dedup.expand_frontier(offers, offered, profile)
     )
 
-    kept = stored.select(F.col("result_id").alias("last_used"), F.col("is_html").alias("_html"))
+    pages_kept = stored.select(F.col("result_id").alias("last_used"), F.col("is_html").alias("_html"))
     outcome = (
         F.when(F.col("status") == "queued", "retry")
         .when(F.col("status") == "failed", "gave up")
@@ -124,11 +133,11 @@ def apply_results(
         .otherwise("other page")
     )
     outcomes = states.join(
-        kept.withColumn("_kept", F.lit(True)), "last_used", "left"
+        pages_kept.withColumn("_kept", F.lit(True)), "last_used", "left"
     ).select("url", "status", outcome.alias("outcome"), F.col("updated_at").alias("decided_at"))
 
     added = CrawlTables(
-        urls=dedup.new_urls(found, tables.urls, profile),
+        urls=dedup.new_urls(targets, near(tables.urls, targets, "url"), profile),
         frontier=changes,
         pages=pages,
         links=links,

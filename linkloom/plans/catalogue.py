@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from linkloom.operators import dedup, frontier as fr, graph
 from linkloom.operators.html import explode_links
 from linkloom.operators.ingest import apply_results
 from linkloom.plans import report
-from linkloom.scratch import scratch_path
+from linkloom.scratch import scratch_path, stage
 from linkloom.sources import corpus
 from linkloom.sources.corpus import PROFILE, naive, table
 from linkloom.sources.tables import CrawlTables, empty_tables
@@ -159,8 +161,13 @@ def upsert_urls(spark, folder):
     return added.withColumn("discovered_at", naive("discovered_at"))
 
 
+def _hashed_documents(spark, folder) -> DataFrame:
+    """Hashed once, so that texts are read once."""
+    return stage(content_hash(spark, folder), "hashes")
+
+
 def dedup_content(spark, folder):
-    return dedup.first_contents(content_hash(spark, folder), ["doc_id"])
+    return dedup.first_contents(_hashed_documents(spark, folder), ["doc_id"])
 
 
 def page_rows(spark, folder):
@@ -285,7 +292,7 @@ def attempt_rows(spark, folder):
 
 def page_budget(spark, folder):
     """Documents in order until the budget of stored ones is used; copies are free."""
-    hashed = content_hash(spark, folder)
+    hashed = _hashed_documents(spark, folder)
     first = dedup.first_contents(hashed, ["doc_id"]).select("doc_id", F.lit("page").alias("outcome"))
     outcomes = hashed.select("doc_id").join(first, "doc_id", "left").fillna("duplicate", ["outcome"])
     return fr.within_budget(outcomes, ["doc_id"], F.col("outcome") == "page", PAGE_BUDGET)
@@ -349,6 +356,15 @@ def _report(build, *args):
     return lambda spark, folder: build(corpus.crawl_tables(spark, folder), *args)
 
 
+def crawl_report(spark, folder):
+    """All sections. Links and frontier serve several sections, so they are written once."""
+    tables = corpus.crawl_tables(spark, folder)
+    tables = replace(
+        tables, links=stage(tables.links, "links"), frontier=stage(tables.frontier, "frontier")
+    )
+    return report.crawl_report(tables, PROFILE)
+
+
 QUERIES = {
     "raw_pages": raw_pages,
     "seed_urls": seed_urls,
@@ -392,5 +408,5 @@ QUERIES = {
     "http_status_hist": _report(report.http_status_hist),
     "depth_status": _report(report.depth_status),
     "top_linking_titles": _report(report.top_linking_titles, PROFILE),
-    "crawl_report": _report(report.crawl_report, PROFILE),
+    "crawl_report": crawl_report,
 }

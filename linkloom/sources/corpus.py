@@ -15,7 +15,9 @@ from linkloom.functions import text, urls
 from linkloom.operators import dedup, frontier as fr, graph
 from linkloom.operators.html import parse_pages
 from linkloom.operators.ingest import parse_results
+from linkloom.operators.lookup import broadcast_if_small
 from linkloom.profile import SiteProfile
+from linkloom.scratch import stage
 from linkloom.sources.tables import CrawlTables, results_from_bodies
 
 # Rules for the hosts and paths that occur in the tables.
@@ -145,9 +147,10 @@ def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
     results = page_results(spread(table(spark, folder, "pages")))
     parsed = parse_results(results, PROFILE)
     narrow = parsed.select("result_id", "url", "fetched_at", "content_hash")
-    fetched = dedup.keep_first(narrow, "url", ["fetched_at"])
-    stored = dedup.first_contents(fetched, ["fetched_at", "url"])
-    return parsed.join(stored.select("result_id"), "result_id", "left_semi")
+    fetched = stage(dedup.first_per_key(narrow, "url", ["fetched_at"]), "fetched")
+    stored = dedup.first_contents(fetched, ["fetched_at", "url"]).select("result_id")
+    kept = broadcast_if_small(stage(stored, "stored"), "result_id")
+    return parsed.join(kept, "result_id", "left_semi")
 
 
 def crawl_tables(spark: SparkSession, folder: str) -> CrawlTables:

@@ -51,8 +51,10 @@ def read_store(spark: SparkSession, root: str, before: int | None = None) -> Cra
         partitioned = T.StructType([*schema, T.StructField(_BATCH, T.LongType())])
         rows = spark.read.schema(partitioned).parquet(f"{root}/{name}")
         frames[name] = rows.filter(F.col(_BATCH) <= last)
-    latest = F.max_by(F.struct(*schemas.FRONTIER.fieldNames()), _BATCH).alias("row")
-    frames["frontier"] = frames["frontier"].groupBy("url").agg(latest).select("row.*")
+    # Grouped by the same column it is looked up by, so a lookup filter reaches the scan.
+    values = [c for c in schemas.FRONTIER.fieldNames() if c != "url"]
+    latest = F.max_by(F.struct(*values), _BATCH).alias("row")
+    frames["frontier"] = frames["frontier"].groupBy("url").agg(latest).select("url", "row.*")
     return CrawlTables(**{name: df.drop(_BATCH) for name, df in frames.items()})
 
 
