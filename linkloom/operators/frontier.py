@@ -8,19 +8,23 @@ from pyspark.sql import functions as F
 
 from linkloom import schemas
 from linkloom.functions import text, urls
+from linkloom.operators.lookup import MAX_BROADCAST_ROWS
 from linkloom.operators.ordered import previous_value, running_total
 from linkloom.profile import SiteProfile
 
 
 def next_batch(frontier: DataFrame, urls_table: DataFrame, at: Column, size: int) -> DataFrame:
-    """The ``size`` best queued rows that are due at ``at``, marked ``fetching``.
+    """The ``size`` best queued rows that are due at ``at``, with host, marked ``fetching``.
 
-    Best is lowest priority number, then lowest depth, then URL. The filter comes
-    first, and each task keeps only its own best rows.
+    Best is lowest priority number, then lowest depth, then URL. Each task keeps only its
+    own best rows. Every frontier row has a urls row, so the join follows the limit and
+    neither table is shuffled, unless the batch itself is too large to broadcast.
     """
     due = frontier.filter((F.col("status") == "queued") & (F.col("next_fetch_at") <= at))
-    picked = due.join(urls_table.select("url", "host"), "url").orderBy("priority", "depth", "url")
-    return picked.limit(size).withColumn("status", F.lit("fetching"))
+    picked = due.orderBy("priority", "depth", "url").limit(size)
+    picked = picked.withColumn("status", F.lit("fetching"))
+    picked = F.broadcast(picked) if size <= MAX_BROADCAST_ROWS else picked
+    return urls_table.select("url", "host").join(picked, "url")
 
 
 def politeness_slots(candidates: DataFrame, profile: SiteProfile) -> DataFrame:

@@ -13,6 +13,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,8 +36,10 @@ _STRENGTH = {
 }
 _SKIPPED_HREFS = ("mailto:", "tel:", "javascript:")
 
-# Pages are converted in small groups so that an output batch stays small.
-_ROWS_PER_OUTPUT_BATCH = 128
+# Pages are converted in small groups, by rows and by size of the bodies, so that an
+# output batch stays far below what one Arrow string column can hold.
+_ROWS_PER_OUTPUT_BATCH = 256
+_BYTES_PER_OUTPUT_BATCH = 64 * 1024 * 1024
 
 _PARSED_FIELDS = [
     T.StructField("title", T.StringType()),
@@ -215,6 +218,20 @@ def _parsed_columns(pages: list[tuple | None]) -> list[pa.Array]:
     ]
 
 
+def _row_groups(bodies: pa.Array) -> Iterator[tuple[int, int]]:
+    """Consecutive (start, length) groups within both output limits, at least one row each."""
+    start, size = 0, 0
+    for row, length in enumerate(pc.binary_length(bodies).to_pylist()):
+        length = length or 0
+        full = row - start >= _ROWS_PER_OUTPUT_BATCH or size + length > _BYTES_PER_OUTPUT_BATCH
+        if full and row > start:
+            yield start, row - start
+            start, size = row, 0
+        size += length
+    if start < len(bodies):
+        yield start, len(bodies) - start
+
+
 def parse_pages(
     results: DataFrame, html: str = "html", base: str = "final_url", keep: list[str] | None = None
 ) -> DataFrame:
@@ -231,8 +248,8 @@ def parse_pages(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, _ROWS_PER_OUTPUT_BATCH):
-                batch = whole.slice(start, _ROWS_PER_OUTPUT_BATCH)
+            for start, length in _row_groups(whole.column(html_at)):
+                batch = whole.slice(start, length)
                 bodies = batch.column(html_at).to_pylist()
                 bases = batch.column(base_at).to_pylist()
                 parsed = [

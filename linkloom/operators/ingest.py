@@ -147,7 +147,8 @@ def apply_results(
 
 
 def merge(tables: CrawlTables, added: CrawlTables) -> CrawlTables:
-    """The five tables after a batch."""
+    """The five tables after a batch. Write them as a new snapshot before the next one:
+    otherwise every batch adds its plan to the last."""
     return CrawlTables(
         urls=tables.urls.unionByName(added.urls),
         frontier=fr.replace_rows(tables.frontier, added.frontier),

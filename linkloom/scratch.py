@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scope: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch_scope", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,7 +32,24 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_scope.get() or scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, label: str) -> Iterator[None]:
+    """Intermediate tables written inside the block are deleted after it.
+
+    For work that has written its results elsewhere by then, such as one micro-batch of a
+    stream that runs for long.
+    """
+    path = scratch_path(spark, label)
+    token = _scope.set(path)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

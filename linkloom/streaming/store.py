@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from linkloom import schemas
 from linkloom.operators.ingest import apply_results
 from linkloom.profile import SiteProfile
+from linkloom.scratch import scratch_scope
 from linkloom.sources.tables import CrawlTables
 
 _BATCH = "batch_id"
@@ -65,9 +66,10 @@ def batch_writer(
 
     def write(results: DataFrame, batch_id: int) -> None:
         spark = results.sparkSession
-        tables = read_store(spark, root, before=batch_id)
-        applied = apply_results(results, tables, profile, enforce_robots)
-        _write_batch(root, batch_id, applied.added, spark)
+        with scratch_scope(spark, "micro-batch"):
+            tables = read_store(spark, root, before=batch_id)
+            applied = apply_results(results, tables, profile, enforce_robots)
+            _write_batch(root, batch_id, applied.added, spark)
 
     return write
 

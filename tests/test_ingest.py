@@ -199,12 +199,13 @@ def expected_crawl(seeds, batches, parsed):
     return crawl
 
 
-def test_batches_equal_loop(spark, profile):
+def test_batches_equal_loop(spark, profile, tmp_path):
     seeds, batches, parsed = random_crawl()
     tables = start_tables(spark, profile, seeds)
-    for rows in batches:
+    for i, rows in enumerate(batches):
         added = apply_results(raw(spark, rows), tables, profile).added
-        tables = merge(tables, added)
+        T.write_tables(merge(tables, added), str(tmp_path / f"snapshot{i}"))
+        tables = T.read_tables(spark, str(tmp_path / f"snapshot{i}"))
     assert view(tables) == expected_crawl(seeds, batches, parsed)
 
 
