@@ -7,9 +7,10 @@ relational.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -28,7 +29,7 @@ from linkloom.profile import SiteProfile
 _VOID = frozenset(
     "area base basefont br col embed frame hr img input isindex link meta param source track wbr".split()
 )
-_HIDDEN = frozenset(("script", "style", "template", "rt", "rp"))
+_HIDDEN = frozenset(("template", "rt", "rp"))
 _ENDS_ANCHOR = frozenset(("a", "fieldset", "table", "td", "th"))
 _STRENGTH = {
     "div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180,
@@ -50,14 +51,31 @@ _PARSED_FIELDS = [
 ]
 
 
-class _PageReader(HTMLParser):
-    """Collects the fields of one page while the markup streams by."""
+# Inside a tag: anything but ">", with quoted values taken whole. Atomic, so an unclosed
+# quote or tag costs no backtracking.
+_INSIDE = r"""(?>[^>=]+|=\s*"[^"]*"|=\s*'[^']*'|=)*+"""
+# Groups: 1 raw-text element (its content goes with it), 2 end tag, 3 start tag, 4 its inside.
+# Comments and declarations match without a group. What the document breaks off in is not text.
+_MARKUP = re.compile(
+    rf"""<(?:
+        !--.*?(?:--!?>|\Z)
+      | (script|style)(?=[\s/>]){_INSIDE}(?:>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|\Z)
+      | [!?][^>]*(?:>|\Z)
+      | /([a-z][^\s/>]*)[^>]*(?:>|\Z)
+      | ([a-z][^\s/>]*)({_INSIDE})(?:>|\Z)
+    )""",
+    re.VERBOSE | re.IGNORECASE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(
+    r"""([^\s/=>"'][^\s/=>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'][^\s]*)))?"""
+)
+_UNQUOTED_SLASH = re.compile(r"""=\s*[^\s"']+/\s*\Z""")
 
-    CDATA_CONTENT_ELEMENTS = ("script", "style")
-    RCDATA_CONTENT_ELEMENTS = ()
+
+class _PageReader:
+    """Collects the fields of one page while the markup streams by."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.texts: list[str] = []
         self.anchors: list[tuple[str | None, list[str]]] = []
         self.description: str | None = None
@@ -68,7 +86,6 @@ class _PageReader(HTMLParser):
         self._described = False
         self._title_depth: int | None = None
         self._title_parts: list[str | None] | None = None
-        self._at_end = False
 
     @property
     def title(self) -> str | None:
@@ -77,32 +94,33 @@ class _PageReader(HTMLParser):
         return parts[0] if parts and len(parts) == 1 else None
 
     def read(self, html: str) -> None:
-        self.feed(html)
-        self._at_end = True
-        self.close()
+        position = 0
+        for found in _MARKUP.finditer(html):
+            start = found.start()
+            if start > position:
+                self._pending.append(html[position:start])
+            position = found.end()
+            raw, end_tag, start_tag, inside = found.groups()
+            if start_tag:
+                self._start(start_tag.lower(), inside)
+            elif end_tag:
+                self._end(end_tag.lower())
+            else:
+                self._end_text()
+                if raw:
+                    self._child_of_title()
+        self._pending.append(html[position:])
         self._end_text()
 
-    # A tag or comment that the document breaks off in is not text.
-    def parse_starttag(self, i: int) -> int:
-        return self._or_end(super().parse_starttag(i))
-
-    def parse_endtag(self, i: int) -> int:
-        return self._or_end(super().parse_endtag(i))
-
-    def parse_comment(self, i: int, report: int = 1) -> int:
-        return self._or_end(super().parse_comment(i, report))
-
-    def _or_end(self, position: int) -> int:
-        return len(self.rawdata) if position < 0 and self._at_end else position
-
-    def handle_data(self, data: str) -> None:
-        self._pending.append(data)
-
     def _end_text(self) -> None:
         if not self._pending:
             return
         raw = "".join(self._pending)
         self._pending.clear()
+        if not raw:
+            return
+        if "&" in raw:
+            raw = unescape(raw)
         if self._title_depth is not None and len(self._open) == self._title_depth:
             blank = not raw.strip(" \t\n\r\f")
             self._title_parts.append(("\n" if "\n" in raw else " ") if blank else raw)
@@ -114,42 +132,42 @@ class _PageReader(HTMLParser):
             for pieces in self._open_anchors:
                 pieces.append(text)
 
-    def handle_comment(self, data: str) -> None:
-        self._end_text()
-
-    def handle_pi(self, data: str) -> None:
-        self._end_text()
+    def _child_of_title(self) -> None:
+        if self._title_depth is not None and len(self._open) == self._title_depth:
+            self._title_parts.append(None)
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def _start(self, tag: str, inside: str) -> None:
         self._end_text()
         if tag in _ENDS_ANCHOR:
             while self._open and self._open[-1] == "a":
                 self._close_last()
-        if self._title_depth is not None and len(self._open) == self._title_depth:
-            self._title_parts.append(None)
-        if tag == "meta" and not self._described:
-            self._read_meta(attrs)
+        self._child_of_title()
         if tag in _VOID:
+            if tag == "meta" and not self._described:
+                self._read_meta(_attributes(inside))
             return
         self._open.append(tag)
         if tag in _HIDDEN:
             self._hidden += 1
         elif tag == "a":
             pieces: list[str] = []
-            self.anchors.append((_attribute(attrs, "href"), pieces))
+            self.anchors.append((_attributes(inside).get("href"), pieces))
             self._open_anchors.append(pieces)
         elif tag == "title" and self._title_parts is None:
             self._title_depth, self._title_parts = len(self._open), []
-
-    def handle_endtag(self, tag: str) -> None:
-        strength = _STRENGTH.get(tag, 100)
-        for name in reversed(self._open):
-            if name == tag:
-                break
-            if _STRENGTH.get(name, 100) > strength:
+        if inside.endswith("/") and not _UNQUOTED_SLASH.search(inside):
+            self._close_last()
+
+    def _end(self, tag: str) -> None:
+        if not self._open or self._open[-1] != tag:
+            strength = _STRENGTH.get(tag, 100)
+            for name in reversed(self._open):
+                if name == tag:
+                    break
+                if _STRENGTH.get(name, 100) > strength:
+                    return
+            else:
                 return
-        else:
-            return
         self._end_text()
         while self._close_last() != tag:
             pass
@@ -164,15 +182,18 @@ class _PageReader(HTMLParser):
             self._open_anchors.pop()
         return tag
 
-    def _read_meta(self, attrs: list[tuple[str, str | None]]) -> None:
-        if _attribute(attrs, "name") == "description":
+    def _read_meta(self, attributes: dict[str, str]) -> None:
+        if attributes.get("name") == "description":
             self._described = True
-            self.description = _attribute(attrs, "content")
+            self.description = attributes.get("content")
 
 
-def _attribute(attrs: list[tuple[str, str | None]], name: str) -> str | None:
-    """First value of an attribute; empty when it has no value, None when absent."""
-    return next((value or "" for key, value in attrs if key == name), None)
+def _attributes(inside: str) -> dict[str, str]:
+    """Attributes of a tag; the first of a name counts, no value reads as empty."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(inside):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
 
 
 def _resolve(base: str, anchors: list[tuple[str | None, list[str]]]) -> tuple[list, list]:

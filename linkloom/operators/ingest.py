@@ -25,11 +25,12 @@ class AppliedBatch:
     outcomes: DataFrame
 
 
-def parse_results(results: DataFrame, profile: SiteProfile) -> DataFrame:
+def parse_results(results: DataFrame, profile: SiteProfile, bodies: bool = True) -> DataFrame:
     """Fetch results with canonical URL, content hash and parsed fields, written once.
 
-    The body is kept for HTML only. The written table lets each later step read just
-    its columns, so bodies are read again only to write the pages.
+    The body is kept for HTML only, or not at all without ``bodies``. The written table
+    lets each later step read just its columns, so bodies are read again only to write
+    the pages.
     """
     usable = F.coalesce("is_html", F.lit(False)) & F.col("error").isNull()
     prepared = results.withColumns(
@@ -38,12 +39,15 @@ def parse_results(results: DataFrame, profile: SiteProfile) -> DataFrame:
             "html": F.when(usable, F.col("html")),
         }
     )
-    parsed = parse_pages(prepared).withColumns(
+    keep = [c for c in prepared.columns if bodies or c != "html"]
+    parsed = parse_pages(prepared, keep=keep).withColumns(
         {
             "content_hash": text.content_hash(F.col("text_content")),
             "result_id": F.monotonically_increasing_id(),
         }
     )
+    if not bodies:
+        parsed = parsed.withColumn("html", F.lit(None).cast("string"))
     return stage(parsed, "parsed")
 
 

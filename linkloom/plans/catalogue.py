@@ -232,6 +232,7 @@ def _daily_frontier(spark, folder) -> tuple[DataFrame, DataFrame]:
     frontier = folded.withColumn("depth", depth).withColumn(
         "priority", F.when(depth == 0, PROFILE.seed_priority).otherwise(PROFILE.link_priority)
     )
+    frontier = stage(frontier, "daily")
     hosts = frontier.select("url", urls.url_host(F.col("url")).alias("host"))
     return frontier, hosts
 
@@ -316,18 +317,19 @@ def apply_results_outcomes(spark, folder):
 # Streams
 
 
+def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet")
+
+
 def stream_ingest(spark, folder):
     """Pages streamed into a store; the stored pages."""
     root = scratch_path(spark, "store")
     results = corpus.page_results(_pages(spark, folder))
     store.create_store(spark, root, _queued(results))
-    source = (
-        spark.readStream.schema(_pages(spark, folder).schema)
-        .option("pathGlobFilter", "pages.parquet")
-        .parquet(folder)
-    )
+    source = _stream(spark, folder, "pages")
     checkpoint = scratch_path(spark, "checkpoint")
-    arriving = corpus.page_results(source.repartition(spark.sparkContext.defaultParallelism))
+    arriving = corpus.page_results(corpus.spread_like(source, _pages(spark, folder)))
     store.start_ingest(arriving, root, checkpoint, PROFILE).awaitTermination()
     pages = store.read_store(spark, root).pages
     return pages.withColumn("fetched_at", naive("fetched_at"))
@@ -336,11 +338,7 @@ def stream_ingest(spark, folder):
 def stream_frontier_state(spark, folder):
     """Retry states kept by a stream of attempts; the latest state of each URL."""
     root, checkpoint = scratch_path(spark, "states"), scratch_path(spark, "checkpoint")
-    source = (
-        spark.readStream.schema(table(spark, folder, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-    )
+    source = _stream(spark, folder, "events")
     attempts = corpus.event_attempts(source, _event_key())
     latest = states.write_states(
         states.stream_states(attempts, PROFILE, "event_id"), root, checkpoint

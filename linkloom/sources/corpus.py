@@ -39,8 +39,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for costly per-row work when the input has few splits; inputs
     with enough splits stay as they are."""
+    return spread_like(df, df)
+
+
+def spread_like(df: DataFrame, sample: DataFrame) -> DataFrame:
+    """``spread`` for a stream, judged by a batch read of the same files."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if sample.rdd.getNumPartitions() < cores else df
 
 
 def naive(timestamp: str) -> Column:
@@ -141,11 +146,11 @@ def site_edges(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
+def stored_pages(spark: SparkSession, folder: str, bodies: bool = True) -> DataFrame:
     """Parsed pages as they would be stored: the first fetch of each canonical URL,
-    unless an earlier page has the same text."""
+    unless an earlier page has the same text. Without ``bodies``, html is null."""
     results = page_results(spread(table(spark, folder, "pages")))
-    parsed = parse_results(results, PROFILE)
+    parsed = parse_results(results, PROFILE, bodies)
     narrow = parsed.select("result_id", "url", "fetched_at", "content_hash")
     fetched = stage(dedup.first_per_key(narrow, "url", ["fetched_at"]), "fetched")
     stored = dedup.first_contents(fetched, ["fetched_at", "url"]).select("result_id")
@@ -154,8 +159,9 @@ def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def crawl_tables(spark: SparkSession, folder: str) -> CrawlTables:
-    """The five tables after a crawl that started from every page."""
-    stored = stored_pages(spark, folder)
+    """The five tables after a crawl that started from every page. Page bodies are left
+    out: the queries on these tables do not read them."""
+    stored = stored_pages(spark, folder, bodies=False)
     results = page_results(table(spark, folder, "pages"))
     pages = dedup.page_rows(stored)
     links = graph.link_rows(stored, PROFILE)

@@ -1,5 +1,10 @@
+import random
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
+
+from stdlib_reader import StdlibReader
 
 from linkloom.operators import html as H
 
@@ -131,3 +136,34 @@ def test_rejected_links_are_reported(spark, profile):
 )
 def test_anchor_text(spark, profile, page, anchors):
     assert [t for _, t, _ in _links(spark, profile, page, "http://h/")] == anchors
+
+
+def _fields(reader, page):
+    reader.read(page)
+    return reader.title, reader.description, reader.texts, reader.anchors
+
+
+def test_reader_agrees_with_the_standard_parser_on_random_markup():
+    rng = random.Random(1)
+    pieces = [
+        "<p>", "</p>", "<P CLASS='x > y'>", "<br>", "<br/>", "<div>", "</div>", "<b>", "</b>", "<title>", "</title>",
+        "<a href=/a>", '<a href="/b?x=1&amp;y=2">', "<a href='/c'>", "<a>", "</a>", "<a href=/d/>", '<a href="/e"/>', "<A HREF = /f >",
+        "<table>", "<tr>", "<td>", "</td>", "</table>", "<ruby>", "<rt>", "</rt>", "</ruby>", "<template>", "</template>",
+        "<script>if (a < b) '</p>'</script>", "<style>p > a {}</style>", "<SCRIPT src=x></SCRIPT>", "<!-- c > d -->", "<!doctype html>", "<?pi x?>",
+        "<meta name=description content='d &quot;'>", "<meta name=other content=x>", "</nothing>", "text", " ", "\n", "&amp;", "&#233;", "a &lt; b", "1 < 2",
+        "<img src=x alt='>'>", "<ul><li>", "</ul>", "<h1>", "</h1 >", "<x-y z>",
+    ]
+    for _ in range(4000):
+        page = "".join(rng.choice(pieces) for _ in range(rng.randrange(25)))
+        assert _fields(H._PageReader(), page) == _fields(StdlibReader(), page), page
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="no test tables")
+def test_reader_agrees_with_the_standard_parser_on_pages():
+    for page in pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["html"])["html"].to_pylist():
+        assert _fields(H._PageReader(), page) == _fields(StdlibReader(), page)
+
+
+@pytest.mark.parametrize("part", ["<", "<a ", "<a href='", "<!--", "<script>", "=\"", "<a x=y", "</", "&"])
+def test_reading_time_is_linear(part):
+    H._PageReader().read(part * 20_000)
