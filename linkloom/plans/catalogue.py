@@ -340,10 +340,7 @@ def stream_frontier_state(spark, folder):
     root, checkpoint = scratch_path(spark, "states"), scratch_path(spark, "checkpoint")
     source = _stream(spark, folder, "events")
     attempts = corpus.event_attempts(source, _event_key())
-    latest = states.write_states(
-        states.stream_states(attempts, PROFILE, "event_id"), root, checkpoint
-    )
-    latest.awaitTermination()
+    states.start_states(attempts, root, checkpoint, PROFILE, "event_id").awaitTermination()
     return _state_view(states.read_states(spark, root))
 
 

@@ -1,9 +1,19 @@
+import pytest
 from test_frontier import ATTEMPTS, fold_in_python, random_attempts, states
 
 from linkloom.streaming import states as S
 
 
-def test_stream_of_attempts_equals_loop(spark, profile, tmp_path):
+def _state_store(stream, root, checkpoint, profile):
+    return S.write_states(S.stream_states(stream, profile, "id"), root, checkpoint)
+
+
+def _state_table(stream, root, checkpoint, profile):
+    return S.start_states(stream, root, checkpoint, profile, "id")
+
+
+@pytest.mark.parametrize("start_stream", [_state_store, _state_table])
+def test_stream_of_attempts_equals_loop(spark, profile, tmp_path, start_stream):
     source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     rows, want = random_attempts(n=2500, seed=21), {}
     # Batches arrive one by one; inside a batch time decides.
@@ -12,5 +22,5 @@ def test_stream_of_attempts_equals_loop(spark, profile, tmp_path):
         want = fold_in_python(chunk, start=want)
         spark.createDataFrame(chunk, ATTEMPTS).write.mode("append").parquet(source)
         stream = spark.readStream.schema(ATTEMPTS).parquet(source)
-        S.write_states(S.stream_states(stream, profile, "id"), root, checkpoint).awaitTermination()
+        start_stream(stream, root, checkpoint, profile).awaitTermination()
     assert states(S.read_states(spark, root)) == want
