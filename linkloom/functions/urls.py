@@ -71,18 +71,19 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 def _parts(url: Column) -> Column:
     """Struct of scheme (lower case), authority, path (without ";params") and query."""
 
-    def split(clean: Column) -> Column:
-        scheme = F.lower(F.regexp_extract(clean, _SPLIT, 1))
-        path = F.regexp_extract(clean, _SPLIT, 3)
+    def named(part: Column) -> Column:
+        scheme, path = F.lower(part[0]), part[2]
         has_params = path.contains(";") & scheme.isin(*_SCHEMES_WITH_PARAMS)
         return F.struct(
             scheme.alias("scheme"),
-            F.regexp_extract(clean, _SPLIT, 2).alias("authority"),
+            part[1].alias("authority"),
             F.when(has_params, F.regexp_replace(path, r";[^/]*\z", "")).otherwise(path).alias("path"),
-            F.regexp_extract(clean, _SPLIT, 4).alias("query"),
+            part[3].alias("query"),
         )
 
-    return _let(F.regexp_replace(url, _NOISE, ""), split)
+    # One match for all four groups: a cleaned URL has no line feed, so it can part them.
+    clean = F.regexp_replace(url, _NOISE, "")
+    return _let(F.split(F.regexp_replace(clean, _SPLIT, "$1\n$2\n$3\n$4"), "\n", -1), named)
 
 
 def _is_malformed(authority: Column) -> Column:
@@ -98,7 +99,9 @@ def _is_malformed(authority: Column) -> Column:
 
 def _host_info(authority: Column) -> Column:
     """Authority without user info."""
-    return F.regexp_replace(authority, r"(?s)^.*@", "")
+    return F.when(authority.contains("@"), F.regexp_replace(authority, r"(?s)^.*@", "")).otherwise(
+        authority
+    )
 
 
 def _host(info: Column) -> Column:
@@ -121,14 +124,16 @@ def _port_in_range(digits: Column) -> Column:
 
 
 def _decode(text: Column) -> Column:
-    return F.url_decode(F.regexp_replace(text, r"%(?![0-9A-Fa-f]{2})", "%25"))
+    decoded = F.url_decode(F.regexp_replace(text, r"%(?![0-9A-Fa-f]{2})", "%25"))
+    return F.when(text.contains("%") | text.contains("+"), decoded).otherwise(text)
 
 
 def _encode(text: Column) -> Column:
     # The JVM leaves "*" and escapes "~"; the wanted form is the other way round.
-    return F.replace(
+    encoded = F.replace(
         F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~")
     )
+    return F.when(text.rlike(r"[^A-Za-z0-9_.~\-]"), encoded).otherwise(text)
 
 
 def _canonical_query(query: Column, tracking_params: tuple[str, ...]) -> Column:
@@ -145,7 +150,7 @@ def _canonical_query(query: Column, tracking_params: tuple[str, ...]) -> Column:
     kept = F.filter(decoded, lambda p: ~F.lower(p["k"]).isin(*tracking_params))
     return F.array_join(
         F.transform(
-            F.array_sort(kept), lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))
+            F.sort_array(kept), lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))
         ),
         "&",
     )

@@ -65,8 +65,8 @@ def breadth_first(
     for depth in range(profile.max_depth):
         expanding = level
         if pages is not None:
-            fetched = level.select("url").join(pages.select("url", "content_hash"), "url")
-            fetched = stage(fetched, "fetched")
+            wanted = broadcast_if_small(level.select("url"), "url")
+            fetched = stage(pages.select("url", "content_hash").join(wanted, "url"), "fetched")
             kept = stage(first_contents(fetched, ["url"], seen_hashes), "kept")
             hashes = kept.select("content_hash")
             seen_hashes = hashes if seen_hashes is None else seen_hashes.unionByName(hashes)

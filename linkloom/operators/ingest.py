@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,95 +61,128 @@ def apply_results(
     its links, their URLs and newly discovered frontier rows.
 
     Results of one URL are taken in time order up to the one that ends it. Results for
-    URLs that the frontier does not hold as open are logged but change nothing.
+    URLs found in the same batch are applied in a further round, after those of the URLs
+    they were found from; there are at most ``max_depth`` such rounds. Results for URLs
+    that the frontier does not hold as open are logged but change nothing.
     """
     if enforce_robots:
         results = fr.block_disallowed(results, profile)
     parsed = parse_results(results, profile)
+    batch_urls = stage(parsed.select("url").distinct(), "batch_urls")
+    known_hashes = tables.pages.select("content_hash")
+    known_entries = near(tables.frontier, batch_urls, "url")
+    entries = known_entries.filter(F.col("status").isin("queued", "fetching"))
+
+    rounds: list[_Round] = []
+    frontier: list[DataFrame] = []
+    seen = tables.frontier
+    for number in range(profile.max_depth + 1):
+        done = _apply_round(parsed, entries, known_hashes, seen, profile)
+        rounds.append(done)
+        frontier.append(
+            fr.apply_states(entries, done.states)
+            if number == 0
+            else fr.replace_rows(entries, fr.apply_states(entries, done.states))
+        )
+        entries = stage(done.discovered, "discovered")
+        if entries.join(batch_urls, "url", "left_semi").isEmpty():
+            break
+        known_hashes = known_hashes.unionByName(done.stored.select("content_hash"))
+        seen = seen.select("url").unionByName(entries.select("url"))
+    frontier.append(entries)
+
+    stored, edges, outcomes = (
+        _union(getattr(r, name) for r in rounds) for name in ("stored", "edges", "outcomes")
+    )
+    # The only join that bodies take part in: with stored ids small enough to broadcast
+    # they are not shuffled.
+    ids = broadcast_if_small(stored.select("result_id"), "result_id")
+    targets = stage(
+        edges.groupBy(F.col("to_url").alias("url")).agg(F.min("discovered_at").alias("discovered_at")),
+        "targets",
+    )
+    added = CrawlTables(
+        urls=dedup.new_urls(targets, near(tables.urls, targets, "url"), profile),
+        frontier=_union(frontier),
+        pages=dedup.page_rows(parsed.join(ids, "result_id", "left_semi")),
+        links=edges.drop("depth"),
+        fetch_attempts=fr.attempt_rows(parsed),
+    )
+    return AppliedBatch(added, outcomes)
+
+
+@dataclass(frozen=True)
+class _Round:
+    """Results applied to one set of frontier rows."""
+
+    states: DataFrame
+    stored: DataFrame
+    edges: DataFrame
+    discovered: DataFrame
+    outcomes: DataFrame
 
-    attempts = fr.attempt_rows(parsed)
-    deciding = fr.first_attempts(
-        parsed.select(
-            "url",
-            F.col("fetched_at").alias("attempted_at"),
-            "result_id",
-            text.attempt_success(F.col("error")).alias("success"),
-            F.col("error").alias("error_message"),
-        ),
-        profile,
+
+def _apply_round(
+    parsed: DataFrame,
+    entries: DataFrame,
+    known_hashes: DataFrame,
+    frontier: DataFrame,
+    profile: SiteProfile,
+) -> _Round:
+    attempts = parsed.select(
+        "url",
+        F.col("fetched_at").alias("attempted_at"),
         "result_id",
-    ).drop("_rank")
-    batch_urls = stage(parsed.select("url").distinct(), "batch_urls")
-    entries = near(tables.frontier, batch_urls, "url")
-    still_open = entries.filter(F.col("status").isin("queued", "fetching"))
-    states = stage(
-        fr.fold_attempts(
-            deciding.join(
-                still_open.select("url", "attempt_count", "next_fetch_at", "last_error"), "url"
-            ),
-            profile,
-            "result_id",
-        ),
-        "states",
+        text.attempt_success(F.col("error")).alias("success"),
+        F.col("error").alias("error_message"),
     )
+    deciding = fr.first_attempts(attempts, profile, "result_id").drop("_rank")
+    before = entries.select("url", "attempt_count", "next_fetch_at", "last_error")
+    folded = fr.fold_attempts(deciding.join(before, "url"), profile, "result_id")
+    states = stage(folded, "states")
 
     ended = states.filter("status = 'done'").select(F.col("last_used").alias("result_id"), "url")
-    depths = still_open.select("url", "depth")
-    fetched = (
+    fetched = stage(
         parsed.select("result_id", "fetched_at", "content_hash", "is_html")
         .join(ended, "result_id")
-        .join(depths, "url")
-    )
-    fetched = stage(fetched, "fetched")
-    known_hashes = near(tables.pages.select("content_hash"), fetched, "content_hash")
-    stored = stage(
-        dedup.first_contents(fetched, ["fetched_at", "url"], known_hashes), "stored"
+        .join(entries.select("url", "depth"), "url"),
+        "fetched",
     )
+    known = near(known_hashes, fetched, "content_hash")
+    stored = stage(dedup.first_contents(fetched, ["fetched_at", "url"], known), "stored")
 
-    # The only join that bodies take part in: with stored ids small enough to broadcast
-    # they are not shuffled.
-    kept = broadcast_if_small(stored, "result_id")
-    pages = dedup.page_rows(parsed.join(kept.select("result_id"), "result_id", "left_semi"))
-    linking = parsed.select("result_id", "page_links").join(
-        kept.select("result_id", "url", "fetched_at", "depth"), "result_id"
+    kept = broadcast_if_small(
+        stored.select("result_id", "url", "fetched_at", "depth"), "result_id"
     )
+    linking = parsed.select("result_id", "page_links").join(kept, "result_id")
     edges = stage(graph.link_rows(linking, profile, "depth"), "edges")
-    links = edges.drop("depth")
-    targets = stage(
-        edges.groupBy(F.col("to_url").alias("url")).agg(F.min("discovered_at").alias("discovered_at")),
-        "targets",
-    )
     offers = edges.select(
         F.col("to_url").alias("url"),
         F.col("from_url").alias("discovered_from"),
         F.col("depth").alias("parent_depth"),
         "discovered_at",
     )
-    offered = near(tables.frontier, targets, "url")
-    changes = fr.apply_states(entries, states).unionByName(
-        dedup.expand_frontier(offers, offered, profile)
-    )
+    offered = edges.select(F.col("to_url").alias("url"))
+    discovered = dedup.expand_frontier(offers, near(frontier, offered, "url"), profile)
 
-    pages_kept = stored.select(F.col("result_id").alias("last_used"), F.col("is_html").alias("_html"))
     outcome = (
         F.when(F.col("status") == "queued", "retry")
         .when(F.col("status") == "failed", "gave up")
-        .when(F.col("_kept").isNull(), "duplicate")
+        .when(F.col("_html").isNull(), "duplicate")
         .when(F.col("_html"), "page")
         .otherwise("other page")
     )
-    outcomes = states.join(
-        pages_kept.withColumn("_kept", F.lit(True)), "last_used", "left"
-    ).select("url", "status", outcome.alias("outcome"), F.col("updated_at").alias("decided_at"))
-
-    added = CrawlTables(
-        urls=dedup.new_urls(targets, near(tables.urls, targets, "url"), profile),
-        frontier=changes,
-        pages=pages,
-        links=links,
-        fetch_attempts=attempts,
+    pages = stored.select(
+        F.col("result_id").alias("last_used"), F.coalesce("is_html", F.lit(False)).alias("_html")
     )
-    return AppliedBatch(added, outcomes)
+    outcomes = states.join(pages, "last_used", "left").select(
+        "url", "status", outcome.alias("outcome"), F.col("updated_at").alias("decided_at")
+    )
+    return _Round(states, stored, edges, discovered, outcomes)
+
+
+def _union(frames: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def merge(tables: CrawlTables, added: CrawlTables) -> CrawlTables:

@@ -319,7 +319,8 @@ def apply_results_outcomes(spark, folder):
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet")
+    # A stream takes a directory or a pattern; the pattern also fits a single file.
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def stream_ingest(spark, folder):

@@ -53,12 +53,18 @@ class Crawl:
             self.frontier[u] = ["queued", 0, 0, None]
 
     def handle(self, results, links_of, max_depth=2):
+        """Rounds: results of known URLs, then of the URLs these rounds find."""
+        self.attempts += len(results)
+        turn = {u for u, entry in self.frontier.items() if entry[0] in ("queued", "fetching")}
+        for _ in range(max_depth + 1):
+            turn = self._round([r for r in results if r[0] in turn], links_of, max_depth)
+
+    def _round(self, results, links_of, max_depth):
         found = {}
         for row in sorted(results, key=lambda r: (r[9], r[0])):
             url, html, is_html, error = row[0], row[5], row[7], row[8]
-            self.attempts += 1
-            entry = self.frontier.get(url)
-            if entry is None or entry[0] not in ("queued", "fetching"):
+            entry = self.frontier[url]
+            if entry[0] not in ("queued", "fetching"):
                 continue
             if error is not None:
                 entry[2] += 1
@@ -79,9 +85,10 @@ class Crawl:
                 self.links.append((url, pos, target))
                 if entry[1] < max_depth and "/ru/articles/" in target and target not in self.frontier:
                     found[target] = min(found.get(target, (entry[1], url)), (entry[1], url))
-        # Links of one batch are offered together.
+        # Links of one round are offered together.
         for target, (depth, _) in found.items():
             self.frontier[target] = ["queued", depth + 1, 0, None]
+        return set(found)
 
 
 def view(tables):
@@ -106,11 +113,16 @@ def start_tables(spark, profile, seeds):
     return T.CrawlTables(added, queued, empty.pages, empty.links, empty.fetch_attempts)
 
 
+def snapshot(spark, tables, path):
+    T.write_tables(tables, str(path))
+    return T.read_tables(spark, str(path))
+
+
 def raw(spark, rows):
     return spark.createDataFrame(rows, schemas.RAW)
 
 
-def test_html_other_and_error_results(spark, profile):
+def test_html_other_and_error_results(spark, profile, tmp_path):
     seeds = [article(1), f"{SITE}/file.pdf/", article(3)]
     tables = start_tables(spark, profile, seeds)
     rows = [
@@ -122,7 +134,7 @@ def test_html_other_and_error_results(spark, profile):
     assert {(r.url, r.outcome) for r in applied.outcomes.collect()} == {
         (article(1), "page"), (f"{SITE}/file.pdf/", "other page"), (article(3), "retry"),
     }
-    after = merge(tables, applied.added)
+    after = snapshot(spark, merge(tables, applied.added), tmp_path / "1")
     got = view(after)
     assert got.attempts == 3 and len(got.pages) == 2
     assert got.links == [(article(1), 0, article(99))]
@@ -139,10 +151,10 @@ def test_html_other_and_error_results(spark, profile):
     assert got.attempts == 4 and len(got.pages) == 2 and got.frontier[article(99)] == ["queued", 1, 1, None]
 
 
-def test_duplicate_content_adds_no_page_and_no_links(spark, profile):
+def test_duplicate_content_adds_no_page_and_no_links(spark, profile, tmp_path):
     tables = start_tables(spark, profile, [article(1), article(2), article(3)])
     first = apply_results(raw(spark, [result(article(1), 1, page("same to"))]), tables, profile)
-    after = merge(tables, first.added)
+    after = snapshot(spark, merge(tables, first.added), tmp_path / "1")
     rows = [result(article(2), 2, page("same", "/ru/articles/7/")), result(article(3), 3, page("other"))]
     second = apply_results(raw(spark, rows), after, profile)
     assert {(r.url, r.outcome) for r in second.outcomes.collect()} == {(article(2), "duplicate"), (article(3), "page")}
@@ -170,7 +182,8 @@ def random_crawl(seed=6):
     known, batches, parsed, at = list(seeds), [], {}, 0
     for _ in range(3):
         rows = []
-        for url in rng.sample(known, len(known)):
+        ahead = [article(rng.randrange(60)) for _ in range(15)]
+        for url in rng.sample(known, len(known)) + sorted(set(ahead) - set(known)):
             for _ in range(rng.choice([1, 1, 2, 4])):
                 at += 1
                 kind = rng.random()
@@ -186,6 +199,7 @@ def random_crawl(seed=6):
                     parsed[body] = (text, targets)
                     rows.append(result(url, at, body))
         batches.append(rows)
+        # Also pages found in this batch, and some that only copies link to.
         known = sorted({t for _, ts in parsed.values() for t in ts if SITE in t} | set(known))
     return seeds, batches, parsed
 
@@ -204,8 +218,7 @@ def test_batches_equal_loop(spark, profile, tmp_path):
     tables = start_tables(spark, profile, seeds)
     for i, rows in enumerate(batches):
         added = apply_results(raw(spark, rows), tables, profile).added
-        T.write_tables(merge(tables, added), str(tmp_path / f"snapshot{i}"))
-        tables = T.read_tables(spark, str(tmp_path / f"snapshot{i}"))
+        tables = snapshot(spark, merge(tables, added), tmp_path / f"snapshot{i}")
     assert view(tables) == expected_crawl(seeds, batches, parsed)
 
 
