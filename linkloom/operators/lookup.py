@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 # Above either bound nothing is broadcast and the join shuffles.
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+# A side that is nothing but one long takes little room per row.
+MAX_BROADCAST_IDS = 4_000_000
 
 
 def is_small(keys: DataFrame, key: str) -> bool:
     """Whether the keys may be broadcast. ``keys`` should be staged: it is counted here."""
+    if keys.columns == [key] and keys.schema[key].dataType.simpleString() == "bigint":
+        return keys.count() <= MAX_BROADCAST_IDS
     size = F.sum(F.octet_length(F.col(key).cast("string")))
     rows, key_bytes = keys.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
     return rows <= MAX_BROADCAST_ROWS and key_bytes <= MAX_BROADCAST_KEY_BYTES
