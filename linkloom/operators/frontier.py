@@ -27,6 +27,11 @@ def next_batch(frontier: DataFrame, urls_table: DataFrame, at: Column, size: int
     return urls_table.select("url", "host").join(picked, "url")
 
 
+def mark_fetching(frontier: DataFrame, picked: DataFrame) -> DataFrame:
+    """The frontier snapshot after a batch was handed out, so the next pick skips it."""
+    return replace_rows(frontier, picked.select(*schemas.FRONTIER.fieldNames()))
+
+
 def politeness_slots(candidates: DataFrame, profile: SiteProfile) -> DataFrame:
     """Earliest fetch offset in seconds of each candidate (url, host, priority, depth).
 
