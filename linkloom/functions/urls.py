@@ -249,7 +249,8 @@ def url_query(url: Column) -> Column:
     return url_parts(url)["query"]
 
 
-def _on_site(host: Column, profile: SiteProfile) -> Column:
+def host_on_site(host: Column, profile: SiteProfile) -> Column:
+    """Whether a host belongs to the profile's site; false for none."""
     if profile.strict_host:
         match = (host == profile.host_suffix) | host.endswith("." + profile.host_suffix)
     else:
@@ -258,14 +259,14 @@ def _on_site(host: Column, profile: SiteProfile) -> Column:
 
 
 def is_internal_url(url: Column, profile: SiteProfile) -> Column:
-    return _on_site(url_host(url), profile)
+    return host_on_site(url_host(url), profile)
 
 
 def should_crawl(url: Column, profile: SiteProfile) -> Column:
     """True for URLs of the site whose whole path matches a crawl pattern."""
     pattern = "(?s)^(?:" + "|".join(profile.crawl_patterns) + r")\z"
     match = _let(
-        url_parts(url), lambda p: _on_site(p["host"], profile) & p["path"].rlike(pattern)
+        url_parts(url), lambda p: host_on_site(p["host"], profile) & p["path"].rlike(pattern)
     )
     return F.coalesce(match, F.lit(False))
 
@@ -275,7 +276,7 @@ def is_allowed(url: Column, profile: SiteProfile) -> Column:
 
     def allowed(parts: Column) -> Column:
         blocked = [parts["path"].startswith(prefix) for prefix in profile.disallowed_prefixes]
-        return _on_site(parts["host"], profile) & ~reduce(or_, blocked, F.lit(False))
+        return host_on_site(parts["host"], profile) & ~reduce(or_, blocked, F.lit(False))
 
     return F.coalesce(_let(url_parts(url), allowed), F.lit(False))
 
@@ -292,17 +293,19 @@ def is_hub(url: Column, profile: SiteProfile) -> Column:
     return _like_any(url, profile.hub_likes)
 
 
+def parts_rejection(parts: Column) -> Column:
+    """Why a canonical URL with these ``url_parts`` may not be stored; null when it may."""
+    web = F.coalesce(parts["scheme"].isin("http", "https"), F.lit(False))
+    return F.when(~web, F.lit("unsupported scheme")).when(
+        parts["host"].isNull(), F.lit("no host")
+    )
+
+
 def rejection_reason(url: Column) -> Column:
     """Why a canonical URL may not be stored; null when it may."""
-    return _let(
-        url_parts(url),
-        lambda p: F.when(
-            ~F.coalesce(p["scheme"].isin("http", "https"), F.lit(False)),
-            F.lit("unsupported scheme"),
-        ).when(p["host"].isNull(), F.lit("no host")),
-    )
+    return _let(url_parts(url), parts_rejection)
 
 
 def site_gap_seconds(host: Column, profile: SiteProfile) -> Column:
     """Minimum pause between two fetches of one host."""
-    return F.when(_on_site(host, profile), profile.site_gap_sec).otherwise(profile.other_gap_sec)
+    return F.when(host_on_site(host, profile), profile.site_gap_sec).otherwise(profile.other_gap_sec)

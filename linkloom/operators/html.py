@@ -196,14 +196,33 @@ def _attributes(inside: str) -> dict[str, str]:
     return found
 
 
+# The common shapes, which resolution leaves as they are: no empty or dot segment, query,
+# fragment, parameters or white space.
+_PLAIN_ORIGIN = re.compile(r"https?://[A-Za-z0-9._:\-]+(?=[/?#]|\Z)")
+_PLAIN_SEGMENTS = r"(?:/(?!\.)[^/?#;\x00-\x20]+)*/?"
+_PLAIN_HREF = re.compile(rf"({_PLAIN_ORIGIN.pattern})?{_PLAIN_SEGMENTS}\Z")
+
+
+def _absolute(base: str, origin: str | None, href: str) -> str:
+    """``urljoin`` with a shortcut for plain absolute and root-relative references."""
+    plain = _PLAIN_HREF.match(href)
+    if plain and plain.group(1):
+        return href
+    if plain and origin:
+        return origin + href
+    return urljoin(base, href)
+
+
 def _resolve(base: str, anchors: list[tuple[str | None, list[str]]]) -> tuple[list, list]:
     """Admitted anchors as (absolute URL, anchor text), and hrefs that cannot be resolved."""
     links, malformed = [], []
+    plain_origin = _PLAIN_ORIGIN.match(base)
+    origin = plain_origin.group() if plain_origin else None
     for href, pieces in anchors:
         if not href or href.startswith(_SKIPPED_HREFS):
             continue
         try:
-            absolute = urljoin(base, href)
+            absolute = _absolute(base, origin, href)
         except ValueError:
             malformed.append(href)
             continue
@@ -303,16 +322,21 @@ def explode_links(parsed: DataFrame, profile: SiteProfile, *keep: str) -> DataFr
             urls.normalize_url(link["first"], profile),
         ).otherwise(link["first"])
         return F.struct(
+            link["first"].alias("first"),
+            urls.url_parts(link["first"]).alias("parts"),
             again.alias("to_url"),
             link["anchor_text"].alias("anchor_text"),
-            urls.is_internal_url(link["first"], profile).alias("is_internal"),
         )
 
     def checked(link: Column) -> Column:
-        admitted = urls.rejection_reason(link["to_url"]).isNull()
+        reason = F.when(
+            link["to_url"] == link["first"], urls.parts_rejection(link["parts"])
+        ).otherwise(urls.rejection_reason(link["to_url"]))
         return F.struct(
-            *(link[c].alias(c) for c in ("to_url", "anchor_text", "is_internal")),
-            admitted.alias("admitted"),
+            link["to_url"].alias("to_url"),
+            link["anchor_text"].alias("anchor_text"),
+            urls.host_on_site(link["parts"]["host"], profile).alias("is_internal"),
+            reason.isNull().alias("admitted"),
         )
 
     # Computed inside the array, so that filters and joins further on read plain fields

@@ -1,5 +1,6 @@
 import random
 from pathlib import Path
+from urllib.parse import urljoin
 
 import pyarrow.parquet as pq
 import pytest
@@ -164,6 +165,21 @@ def test_reader_agrees_with_the_standard_parser_on_pages():
         assert _fields(H._PageReader(), page) == _fields(StdlibReader(), page)
 
 
+def test_resolution_agrees_with_the_standard_library():
+    rng = random.Random(3)
+    bases = ["http://h/a/b", "https://h", "http://H:80/x?q#f", "HTTP://h/", "http://u@h/", "http://[::1]/a", "ftp://h/a", "", "http:", "//h/a", "http://h?q"]
+    parts = ["/", "/", "a", "é", ".", "..", "?", "#", ";", "http://", "https://", "h.test", ":", "8", " ", "\t", "%20", "//", "ftp:", "[", "-", "b/"]
+    for _ in range(40_000):
+        base, href = rng.choice(bases), "".join(rng.choice(parts) for _ in range(rng.randrange(1, 7)))
+        try:
+            want = urljoin(base, href), []
+        except ValueError:
+            want = "", [href]
+        links, malformed = H._resolve(base, [(href, ["t"])])
+        kept = [(want[0], "t")] if want[0].startswith(("http://", "https://")) else []
+        assert (links, malformed) == (kept, want[1]), (base, href)
+
+
 @pytest.mark.parametrize("part", ["<", "<a ", "<a href='", "<!--", "<script>", "=\"", "<a x=y", "</", "&"])
 def test_reading_time_is_linear(part):
     H._PageReader().read(part * 20_000)
