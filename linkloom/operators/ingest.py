@@ -30,9 +30,9 @@ class AppliedBatch:
 def parse_results(results: DataFrame, profile: SiteProfile, bodies: bool = True) -> DataFrame:
     """Fetch results with canonical URL, content hash and parsed fields, written once.
 
-    The body is kept for HTML only, or not at all without ``bodies``. The written table
-    lets each later step read just its columns, so bodies are read again only to write
-    the pages.
+    The body is kept for HTML only; without ``bodies`` neither it nor the text is kept.
+    The written table lets each later step read just its columns, so bodies are read
+    again only to write the pages.
     """
     usable = F.coalesce("is_html", F.lit(False)) & F.col("error").isNull()
     prepared = results.withColumns(
@@ -49,7 +49,9 @@ def parse_results(results: DataFrame, profile: SiteProfile, bodies: bool = True)
         }
     )
     if not bodies:
-        parsed = parsed.withColumn("html", F.lit(None).cast("string"))
+        parsed = parsed.withColumns(
+            {c: F.lit(None).cast("string") for c in ("html", "text_content")}
+        )
     return stage(parsed, "parsed")
 
 

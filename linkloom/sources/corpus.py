@@ -148,7 +148,7 @@ def site_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_pages(spark: SparkSession, folder: str, bodies: bool = True) -> DataFrame:
     """Parsed pages as they would be stored: the first fetch of each canonical URL,
-    unless an earlier page has the same text. Without ``bodies``, html is null."""
+    unless an earlier page has the same text. Without ``bodies``, html and text are null."""
     results = page_results(spread(table(spark, folder, "pages")))
     parsed = parse_results(results, PROFILE, bodies)
     narrow = parsed.select("result_id", "url", "fetched_at", "content_hash")
@@ -159,8 +159,8 @@ def stored_pages(spark: SparkSession, folder: str, bodies: bool = True) -> DataF
 
 
 def crawl_tables(spark: SparkSession, folder: str) -> CrawlTables:
-    """The five tables after a crawl that started from every page. Page bodies are left
-    out: the queries on these tables do not read them."""
+    """The five tables after a crawl that started from every page. Page bodies and
+    texts are left out: the queries on these tables do not read them."""
     stored = stored_pages(spark, folder, bodies=False)
     results = page_results(table(spark, folder, "pages"))
     pages = dedup.page_rows(stored)

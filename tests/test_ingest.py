@@ -237,6 +237,16 @@ def test_stream_equals_loop_and_replay_changes_nothing(spark, profile, tmp_path)
     assert view(store.read_store(spark, root)) == want
     assert len(view(store.read_store(spark, root, before=0)).pages) == 0
 
+    # A store started from the tables of another one goes on with the same stream.
+    compact = str(tmp_path / "compact")
+    store.create_store(spark, compact, store.read_store(spark, root))
+    more = [result(article(500), 10_000, page("late"))]
+    raw(spark, more).coalesce(1).write.mode("append").parquet(source)
+    stream = store.stream_results(spark, source)
+    store.start_ingest(stream, compact, checkpoint, profile).awaitTermination()
+    want.handle(more, {more[0][5]: ("late", [])})
+    assert view(store.read_store(spark, compact)) == want
+
 
 @pytest.mark.parametrize("fmt", ["parquet", "json", "orc"])
 def test_raw_results_read_back(spark, tmp_path, fmt):
