@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import mixing, packing, pii, quality_rules, sharding, tokens
+from linkloom.llm import mixing, ngram_join, packing, pii, quality_rules, sharding, tokens
 from linkloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op4_sharding": op4_sharding,
+    "op5_ngram_join": op5_ngram_join,
     "op7_pii": op7_pii,
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
