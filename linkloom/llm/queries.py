@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import mixing, ngram_join, packing, pii, quality_rules, sharding, tokens
+from linkloom.llm import (
+    hnsw_dedup,
+    main_text,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality_cnn,
+    quality_rules,
+    sharding,
+    tokens,
+)
 from linkloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs, with_text=False).select(
@@ -19,6 +34,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_cnn.score(docs, quality_cnn.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
@@ -27,6 +47,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op6_hnsw_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.join(table(spark, sf_dir, "embeddings"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -49,9 +73,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_main_text": op1_main_text,
     "op2_mixing": op2_mixing,
+    "op3_quality_cnn": op3_quality_cnn,
     "op4_sharding": op4_sharding,
     "op5_ngram_join": op5_ngram_join,
+    "op6_hnsw_dedup": op6_hnsw_dedup,
     "op7_pii": op7_pii,
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
