@@ -5,8 +5,8 @@ Texts with equal sets form one class; classes are joined, and a class stands for
 
 1. Sets. One pass over the texts gives each document its set (64-bit hashes), the class (hash of
    the set) and a sample of the set: the smallest ``n - T + l`` hashes, where ``T`` = 0.75 n is
-   the least overlap any partner must have and ``l`` = n / 10. Linked classes share at least
-   ``min(l, l')`` hashes of their samples, whatever the other hashes are.
+   the least overlap any partner must have and ``l`` = n / 8, at least 40, at most ``T``. Linked
+   classes share at least ``min(l, l')`` hashes of their samples, whatever the other hashes are.
 2. Inverted lists over the samples. A list with one class is dropped. Each class skips its
    longest lists, one fewer than the least number it must share (``T`` - ``L`` = 1): a partner
    must still meet it in one of its short lists. Passages that many documents share are long
@@ -49,7 +49,8 @@ from linkloom.scratch import stage
 
 WORDS = 5
 PERCENT = 75
-SHARE = 10  # the sample's surplus is one SHARE-th of the set
+SHARE = 8  # the sample's surplus is one SHARE-th of the set
+SURPLUS = 40  # or this, so that a line shared by short texts is skipped, too
 CHUNK = 120_000  # shingles
 PER_CLASS = 100  # added to each set's size, so a chunk has a bounded number of classes, too
 _MAX_BROADCAST_KEYS = 2_000_000
@@ -126,7 +127,7 @@ def _least_overlap(n: int) -> int:
 
 
 def _surplus(n: int) -> int:
-    return max(1, -(-n // SHARE))
+    return max(1, min(_least_overlap(n), max(-(-n // SHARE), SURPLUS)))
 
 
 def _class_of(h: np.ndarray) -> int:
@@ -332,8 +333,11 @@ def join_classes(docs: DataFrame, signatures: DataFrame, key: str, text: str) ->
         _shared, "h long, cls long, n long, df long"
     )
     per_class = shared.groupBy("cls", "n").agg(F.collect_list(F.struct("df", "h")).alias("lists"))
-    least = F.expr(f"(cast(n as int) * {PERCENT} + 99) div 100")
-    need = F.greatest(F.lit(1), F.ceil(least / SHARE)).cast("int")
+    # The surplus of the smallest partner there can be.
+    least = F.expr(f"(n * {PERCENT} + 99) div 100")
+    of_least = F.expr(f"((n * {PERCENT} + 99) div 100 * {PERCENT} + 99) div 100")
+    surplus = F.greatest(F.ceil(least / SHARE), F.lit(SURPLUS))
+    need = F.greatest(F.lit(1), F.least(of_least, surplus)).cast("int")
     short = F.slice(F.sort_array("lists"), F.lit(1), F.size("lists") - need + 1)
     kept = per_class.filter(F.size("lists") >= need).select(
         "cls", "n", F.explode(F.transform(short, lambda x: x["h"])).alias("h")
