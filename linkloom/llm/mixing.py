@@ -65,7 +65,7 @@ def described(key: str, text: str, source: str, lang: str) -> list[Column]:
 def _targets(cells: DataFrame, name: str, power: float, given: dict[str, float] | None) -> DataFrame:
     """Adds ``_to_<name>``, the share the cell's value of that dimension is to have."""
     by, everything = W.partitionBy(f"_{name}"), W.partitionBy()
-    own = F.sum("_tokens").over(by) / F.sum("_tokens").over(everything)
+    own = F.try_divide(F.sum("_tokens").over(by), F.sum("_tokens").over(everything))
     cells = cells.withColumn("_raw", F.pow(own, F.lit(power))).withColumn(
         "_in_value", F.count(F.lit(1)).over(by)
     )
@@ -76,17 +76,17 @@ def _targets(cells: DataFrame, name: str, power: float, given: dict[str, float]
         rest = max(0.0, 1.0 - sum(given.values()))
         cells = cells.withColumn("_given", share)
         free = F.when(F.col("_given").isNull(), F.col("_raw") / F.col("_in_value"))
-        to = F.coalesce("_given", F.lit(rest) * F.col("_raw") / F.sum(free).over(everything))
+        to = F.coalesce("_given", F.lit(rest) * F.try_divide("_raw", F.sum(free).over(everything)))
         return cells.withColumn(f"_to_{name}", to).drop("_raw", "_in_value", "_given")
     total = F.sum(F.col("_raw") / F.col("_in_value")).over(everything)
-    return cells.withColumn(f"_to_{name}", F.col("_raw") / total).drop("_raw", "_in_value")
+    return cells.withColumn(f"_to_{name}", F.try_divide("_raw", total)).drop("_raw", "_in_value")
 
 
 def rake(cells: DataFrame, rounds: int = ROUNDS, given: dict[str, dict[str, float]] | None = None) -> DataFrame:
     """``cells`` (``_source``, ``_language``, ``_topic``, ``_tokens``) with their fitted ``_share``."""
     for name in DIMENSIONS:
         cells = _targets(cells, name, TEMPER[name], (given or {}).get(name))
-    out = cells.withColumn("_share", F.col("_tokens") / F.sum("_tokens").over(W.partitionBy()))
+    out = cells.withColumn("_share", F.try_divide("_tokens", F.sum("_tokens").over(W.partitionBy())))
     for _ in range(rounds):
         for name in DIMENSIONS:
             now = F.sum("_share").over(W.partitionBy(f"_{name}"))
@@ -106,7 +106,8 @@ def calibrate(raked: DataFrame, keep: float = KEEP) -> DataFrame:
     full = F.coalesce(F.sum("_tokens").over(before), F.lit(0))
     gone = F.coalesce(F.sum("_share").over(before), F.lit(0.0))
     out = out.withColumn(
-        "_scale", (F.lit(keep) * F.sum("_tokens").over(everything) - full) / (F.lit(1.0) - gone)
+        "_scale",
+        F.try_divide(F.lit(keep) * F.sum("_tokens").over(everything) - full, F.lit(1.0) - gone),
     ).withColumn("_place", F.row_number().over(order))
     fits = F.when(F.col("_scale") <= F.col("_ratio"), F.struct("_place", "_scale"))
     out = out.withColumn("_scale", F.coalesce(F.min(fits).over(everything)["_scale"], F.max("_ratio").over(everything)))
@@ -114,7 +115,7 @@ def calibrate(raked: DataFrame, keep: float = KEEP) -> DataFrame:
     out = out.withColumn("_probability", F.coalesce(p, F.lit(1.0)))
     return out.withColumn(
         "_weight",
-        F.coalesce(F.col("_scale") / F.col("_ratio") / F.col("_probability"), F.lit(1.0)),
+        F.coalesce(F.try_divide(F.col("_scale") / F.col("_ratio"), "_probability"), F.lit(1.0)),
     )
 
 

@@ -65,7 +65,7 @@ class Model:
 
     def _pooled(self, a: np.ndarray) -> np.ndarray:
         """Each filter's maximum over each chunk of ``a``."""
-        places = max(1, -(-(len(a) - WIDTH + 1) // STEP))
+        places = max(1, -(-(len(a) - WIDTH) // STEP) + 1)  # the last filter reaches the last byte
         a = np.pad(a, (0, max(0, places * STEP + WIDTH - len(a))))
         got = np.full((places + 1, FILTERS), -np.inf, np.float32)
         np.take(self.tables[0], a[: places * STEP : STEP], axis=0, out=got[:places])
@@ -115,7 +115,7 @@ def train(texts: list[bytes], labels: list[int], seed: int = 11) -> Model:
                 for c in rng.permutation(len(own))[:TRAIN_CHUNKS]:
                     owner.append(j)
                     rows.append(np.pad(own[c], (0, CHUNK - len(own[c]))))
-            valid = np.array([max(1, (len(r.nonzero()[0]) and int(r.nonzero()[0][-1]) + 1 - WIDTH) // STEP + 1) for r in rows])
+            valid = np.array([max(1, (len(r.nonzero()[0]) and int(r.nonzero()[0][-1]) + STEP - WIDTH) // STEP + 1) for r in rows])
             owner, a = np.array(owner), np.stack(rows)[:, window]  # chunk, place, byte
             x = p["E"][a].reshape(len(rows), places, -1)
             z = x @ p["W"]
