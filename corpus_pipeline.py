@@ -35,7 +35,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of the documents' token pieces in sequences."""
-    return packing.pack(docs, tokens.path_of("byte_bpe_50k.json"))
+    return packing.pack(
+        docs, tokens.path_of("byte_bpe_50k.json"), ranks=tokens.path_of("byte_bpe_50k.tiktoken")
+    )
 
 
 STAGES = [

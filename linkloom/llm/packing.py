@@ -101,6 +101,13 @@ def pack_pieces(pieces: DataFrame, size: int = SIZE, key: str = "doc_id") -> Dat
     return placed.unionByName(alone)
 
 
-def pack(docs: DataFrame, file: str, size: int = SIZE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Tokenise ``docs`` once, into a written table of pieces, and pack them."""
-    return pack_pieces(stage(piece_table(docs, file, size, key=key, text=text), "pieces"), size, key)
+def pack(
+    docs: DataFrame, file: str, size: int = SIZE, key: str = "doc_id", text: str = "text",
+    ranks: str | None = None,
+) -> DataFrame:
+    """Tokenise ``docs`` once, into a written table of pieces, and pack them.
+
+    ``ranks`` is a rank file of the vocabulary in ``file``; with it new words are merged faster.
+    """
+    pieces = piece_table(docs, file, size, key=key, text=text, ranks=ranks)
+    return pack_pieces(stage(pieces, "pieces"), size, key)

@@ -57,7 +57,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, tokens.path_of("byte_bpe_50k.json"))
+    return packing.pack(
+        docs, tokens.path_of("byte_bpe_50k.json"), ranks=tokens.path_of("byte_bpe_50k.tiktoken")
+    )
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
