@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 
 # Above either bound nothing is broadcast and the join shuffles.
 MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # A side that is nothing but one long takes little room per row.
 MAX_BROADCAST_IDS = 4_000_000
 
 
 def is_small(keys: DataFrame, key: str) -> bool:
-    """Whether the keys may be broadcast. ``keys`` should be staged: it is counted here."""
+    """Whether ``keys`` may be broadcast, by the bytes of all its columns. It is counted here, so
+    it should be staged."""
     if keys.columns == [key] and keys.schema[key].dataType.simpleString() == "bigint":
         return keys.count() <= MAX_BROADCAST_IDS
-    size = F.sum(F.octet_length(F.col(key).cast("string")))
-    rows, key_bytes = keys.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
-    return rows <= MAX_BROADCAST_ROWS and key_bytes <= MAX_BROADCAST_KEY_BYTES
+    text = F.concat_ws("", *[F.col(c).cast("string") for c in keys.columns])
+    size = F.sum(F.octet_length(text))
+    rows, all_bytes = keys.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return rows <= MAX_BROADCAST_ROWS and all_bytes <= MAX_BROADCAST_BYTES
 
 
 def broadcast_if_small(side: DataFrame, key: str) -> DataFrame:
@@ -32,6 +34,7 @@ def near(history: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     With too many keys to broadcast the whole table is returned and the caller's own
     join shuffles it, so what follows gives the same result either way.
     """
-    if not is_small(keys, key):
+    wanted = keys.select(key).distinct()
+    if not is_small(wanted, key):
         return history
-    return history.join(F.broadcast(keys.select(key)), key, "left_semi")
+    return history.join(F.broadcast(wanted), key, "left_semi")

@@ -173,35 +173,32 @@ def _top(select: str, key: str) -> str:
     return f"{select} ORDER BY cnt DESC, {key} ASC NULLS LAST LIMIT 10"
 
 
-_EXTERNAL_HOSTS = _top(
-    f"""SELECT u2.host, count(*)::BIGINT AS cnt FROM t_links k
-    JOIN t_pages g ON k.from_url = g.url JOIN t_urls u1 ON g.url = u1.url
-    JOIN t_urls u2 ON k.to_url = u2.url
-    WHERE k.is_internal = false AND {_article("u1.url")} GROUP BY u2.host""",
-    "host",
-)
-_ANCHORS = _top(
-    f"""SELECT k.anchor_text, count(*)::BIGINT AS cnt FROM t_links k
-    JOIN t_pages g ON k.from_url = g.url JOIN t_urls u ON g.url = u.url
-    WHERE k.anchor_text <> '' AND {_article("u.url")} GROUP BY k.anchor_text""",
-    "anchor_text",
-)
-_TITLES = _top(
-    f"""SELECT g.title, count(*)::BIGINT AS cnt FROM t_links k
-    JOIN t_pages g ON k.from_url = g.url JOIN t_urls u ON g.url = u.url
-    WHERE {_article("u.url")} GROUP BY g.title""",
-    "title",
-)
-_BY_TYPE = f"""SELECT k.is_internal, count(*)::BIGINT AS cnt FROM t_links k
-    JOIN t_pages g ON k.from_url = g.url JOIN t_urls u ON g.url = u.url
-    WHERE {_article("u.url")} GROUP BY k.is_internal"""
+# Links of stored article pages, with the page's title and the target's host.
+_ARTICLE_LINKS = f"""(
+  SELECT from_url, anchor_text, is_internal,
+         (SELECT any_value(title) FROM t_pages WHERE url = from_url) AS title,
+         (SELECT any_value(host) FROM t_urls WHERE url = to_url) AS host
+  FROM t_links
+  WHERE {_article("from_url")} AND from_url IN (SELECT url FROM t_pages)
+) AS article_links"""
+
+
+def _counted(column: str, condition: str = "TRUE") -> str:
+    return (
+        f"SELECT {column}, sum(1)::BIGINT AS cnt FROM {_ARTICLE_LINKS} "
+        f"WHERE {condition} GROUP BY {column}"
+    )
+
+
+_EXTERNAL_HOSTS = _top(_counted("host", "NOT is_internal"), "host")
+_ANCHORS = _top(_counted("anchor_text", "anchor_text <> ''"), "anchor_text")
+_TITLES = _top(_counted("title"), "title")
+_BY_TYPE = _counted("is_internal")
 _STATUSES = "SELECT status, count(*)::BIGINT AS cnt FROM t_frontier GROUP BY status"
 _HTTP = "SELECT http_status, count(*)::BIGINT AS cnt FROM t_pages GROUP BY http_status"
 _DEPTHS = "SELECT depth, status, count(*)::BIGINT AS cnt FROM t_frontier GROUP BY depth, status"
-_HUBS = """SELECT count(*)::BIGINT AS cnt FROM t_pages g JOIN t_urls u ON g.url = u.url
-    WHERE u.url LIKE '%/de/%'"""
-_ARTICLES = f"""SELECT count(*)::BIGINT AS cnt FROM t_pages g JOIN t_urls u ON g.url = u.url
-    WHERE {_article("u.url")}"""
+_HUBS = "SELECT count_if(url LIKE '%/de/%')::BIGINT AS cnt FROM t_pages"
+_ARTICLES = f"SELECT count_if({_article('url')})::BIGINT AS cnt FROM t_pages"
 _TOTAL = "SELECT count(*)::BIGINT AS cnt FROM t_pages"
 
 

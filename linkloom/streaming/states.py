@@ -108,7 +108,7 @@ def start_states(
     def write(batch: DataFrame, batch_id: int) -> None:
         with scratch_scope(spark, "states"):
             deciding = stage(first_attempts(batch, profile, tie).drop("_rank"), "deciding")
-            earlier = near(read_states(spark, root, batch_id), deciding, "url")
+            earlier = read_states(spark, root, batch_id, deciding)
             known = deciding.join(earlier, "url", "left").filter(
                 F.coalesce("status", F.lit("queued")) == "queued"
             )
@@ -132,10 +132,18 @@ def _start(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_states(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The latest state of each URL; with ``before``, as of the earlier micro-batches."""
+def read_states(
+    spark: SparkSession, root: str, before: int | None = None, keys: DataFrame | None = None
+) -> DataFrame:
+    """The latest state of each URL; with ``before``, as of the earlier micro-batches.
+
+    With ``keys`` only the states of their URLs are needed: the rows are looked up before
+    the latest of each is taken, so other rows are neither shuffled nor sorted.
+    """
     rows = spark.read.schema(f"{_OUTPUT}, {_BATCH} bigint").parquet(root)
     if before is not None:
         rows = rows.filter(F.col(_BATCH) < before)
+    if keys is not None:
+        rows = near(rows, keys, "url")
     latest = F.max_by(F.struct(*(c for c in _COLUMNS if c != "url")), _BATCH).alias("row")
     return rows.groupBy("url").agg(latest).select("url", "row.*")

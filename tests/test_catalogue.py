@@ -10,6 +10,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as spark_entry  # noqa: E402
+from linkloom.plans.catalogue import QUERIES  # noqa: E402
+from linkloom.plans.oracle import SQL  # noqa: E402
 
 FOLDER = os.environ.get("CATALOGUE_DIR", "/root/testdata/sf0.001")
 
@@ -38,10 +40,12 @@ def _rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(SQL) <= set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     got = spark_entry.queries()[name](spark, FOLDER)
     want = duck.execute(spark_entry.oracle_sql()[name])

@@ -24,3 +24,11 @@ def test_stream_of_attempts_equals_loop(spark, profile, tmp_path, start_stream):
         stream = spark.readStream.schema(ATTEMPTS).parquet(source)
         start_stream(stream, root, checkpoint, profile).awaitTermination()
     assert states(S.read_states(spark, root)) == want
+
+
+def test_states_are_looked_up_before_the_latest_is_taken(spark, tmp_path):
+    root = str(tmp_path / "states")
+    spark.createDataFrame([], S._OUTPUT).write.parquet(f"{root}/{S._BATCH}=0")
+    keys = spark.createDataFrame([("u",)], "url string")
+    plan = S.read_states(spark, root, 5, keys)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
