@@ -83,7 +83,10 @@ def _repeat_words(hashes: Column, order: Column) -> Column:
             (acc["n"] + F.least(F.lit(WINDOW), p - acc["last"])).alias("n"), p.alias("last")
         ),
     )["n"]
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(covered)
+    measured = F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(covered)
+    # A filter on this measure must not be pushed below the projections it is built on: there the
+    # hashes would be computed again for each window. A row number, always 0 or more, keeps it above.
+    return F.when(F.monotonically_increasing_id() >= 0, measured)
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
