@@ -34,3 +34,12 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+def test_quality_filter_reads_long_texts_once(spark):
+    """Hashing all words again for each window would take hours here."""
+    words = ["the", "quiet", "river"] + [f"word{k}" for k in range(20_000)]
+    good = " ".join(w if k % 10 else "the" for k, w in enumerate(words))
+    rows = [(1, good), (2, good + " again and again and again" * 4000), (3, "short"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in quality_rules.keep_good(docs).collect()] == [1]
