@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -94,20 +96,25 @@ def block_disallowed(results: DataFrame, profile: SiteProfile) -> DataFrame:
     )
 
 
-def first_attempts(attempts: DataFrame, profile: SiteProfile, tie: str) -> DataFrame:
+def first_attempts(
+    attempts: DataFrame, profile: SiteProfile, tie: str, before_tie: Sequence[str] = ()
+) -> DataFrame:
     """The attempts that can decide a URL's state: its first ``max_attempts`` in time.
 
     A URL ends with its first success or its last allowed failure, so later ones never
     matter. The rank filter is applied per task before the shuffle and again after it:
-    a URL with very many attempts costs a few rows per task.
+    a URL with very many attempts costs a few rows per task. Attempts of one time are
+    ordered by ``before_tie``, then by ``tie``, which names the attempt.
     """
-    in_order = W.partitionBy("url").orderBy("attempted_at", tie)
+    in_order = W.partitionBy("url").orderBy("attempted_at", *before_tie, tie)
     ranked = attempts.withColumn("_rank", F.row_number().over(in_order))
     return ranked.filter(F.col("_rank") <= profile.max_attempts)
 
 
-def fold_attempts(attempts: DataFrame, profile: SiteProfile, tie: str) -> DataFrame:
-    """Final state per URL after its attempts, in (time, ``tie``) order.
+def fold_attempts(
+    attempts: DataFrame, profile: SiteProfile, tie: str, before_tie: Sequence[str] = ()
+) -> DataFrame:
+    """Final state per URL after its attempts, in (time, ``before_tie``, ``tie``) order.
 
     ``attempts``: url, attempted_at, ``tie``, success, error_message and, optionally,
     what the frontier held before: attempt_count, next_fetch_at, last_error (equal on
@@ -116,7 +123,7 @@ def fold_attempts(attempts: DataFrame, profile: SiteProfile, tie: str) -> DataFr
     """
     earlier = {"attempt_count": F.lit(0), "next_fetch_at": F.lit(None).cast("timestamp")}
     earlier["last_error"] = F.lit(None).cast("string")
-    relevant = first_attempts(attempts, profile, tie).select(
+    relevant = first_attempts(attempts, profile, tie, before_tie).select(
         "url",
         "_rank",
         "attempted_at",

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkloom import schemas
 from linkloom.functions import text, urls
 from linkloom.operators import dedup, frontier as fr, graph
 from linkloom.operators.html import parse_pages
@@ -35,10 +36,13 @@ def parse_results(results: DataFrame, profile: SiteProfile, bodies: bool = True)
     again only to write the pages.
     """
     usable = F.coalesce("is_html", F.lit(False)) & F.col("error").isNull()
+    content = [c for c in schemas.RAW.fieldNames() if c in results.columns and c not in ("url", "fetched_at")]
     prepared = results.withColumns(
         {
             "url": urls.normalize_url(F.col("url"), profile),
             "html": F.when(usable, F.col("html")),
+            # The hash leaves nulls out, so it is told where they are.
+            "result_tie": F.xxhash64(*(x for c in content for x in (F.isnull(c), F.col(c)))),
         }
     )
     keep = [c for c in prepared.columns if bodies or c != "html"]
@@ -135,12 +139,15 @@ def _apply_round(
         "url",
         F.col("fetched_at").alias("attempted_at"),
         "result_id",
+        "result_tie",
         text.attempt_success(F.col("error")).alias("success"),
         F.col("error").alias("error_message"),
     )
-    deciding = fr.first_attempts(attempts, profile, "result_id").drop("_rank")
+    # Results of one time go by their content, successes first, never by the order of rows.
+    order = ("error_message", "result_tie")
+    deciding = fr.first_attempts(attempts, profile, "result_id", order).drop("_rank")
     before = entries.select("url", "attempt_count", "next_fetch_at", "last_error")
-    folded = fr.fold_attempts(deciding.join(before, "url"), profile, "result_id")
+    folded = fr.fold_attempts(deciding.join(before, "url"), profile, "result_id", order)
     states = stage(folded, "states")
 
     ended = states.filter("status = 'done'").select(F.col("last_used").alias("result_id"), "url")

@@ -176,6 +176,24 @@ def test_disallowed_urls_fail_without_content(spark, profile):
     assert applied.outcomes.first().outcome == "retry"
 
 
+@pytest.mark.parametrize("parts", [1, 4, 8])
+def test_equal_times_do_not_depend_on_the_order_of_rows(spark, profile, parts):
+    a, b = article(1), article(2)
+    rows = [result(a, 0, error=f"timed out {k}") for k in range(3)]
+    rows += [result(a, 0, page(f"good {k}")) for k in range(3)]
+    rows += [result(b, 0, error=f"boom {k}") for k in range(4)]
+    tables = start_tables(spark, profile, [a, b])
+    seen = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        applied = apply_results(raw(spark, rows).repartition(parts), tables, profile)
+        got = sorted((r.url, r.outcome) for r in applied.outcomes.collect())
+        states = sorted((r.url, r.status, r.last_error) for r in applied.added.frontier.collect())
+        seen.add((*got, *states, applied.added.pages.first().content_hash))
+    (only,) = seen
+    assert only[:2] == ((a, "page"), (b, "gave up")) and only[3] == (b, "failed", "boom 2")
+
+
 def random_crawl(seed=6):
     """Batches of results in time order, and what each body parses to."""
     rng = random.Random(seed)
