@@ -120,6 +120,12 @@ def load_seeds(
     return added, queued
 
 
+def crawlable_target(profile: SiteProfile) -> Column:
+    """The crawl patterns as part of an aggregate by ``url``: they are matched once for each
+    target, where the optimizer would push a filter down to every offer."""
+    return urls.should_crawl(F.any_value("url"), profile).alias("_crawlable")
+
+
 def expand_frontier(offers: DataFrame, frontier: DataFrame, profile: SiteProfile) -> DataFrame:
     """Frontier rows for offered link targets.
 
@@ -131,9 +137,9 @@ def expand_frontier(offers: DataFrame, frontier: DataFrame, profile: SiteProfile
     first = F.min(F.struct("parent_depth", "discovered_from", "discovered_at"))
     taken = (
         offers.filter(F.col("parent_depth") < profile.max_depth)
-        .filter(urls.should_crawl(F.col("url"), profile))
         .groupBy("url")
-        .agg(first.alias("first"))
+        .agg(first.alias("first"), crawlable_target(profile))
+        .filter("_crawlable")
         .join(frontier.select("url"), "url", "left_anti")
     )
     return taken.select(

@@ -10,22 +10,29 @@ from pyspark.sql import functions as F
 
 from linkloom import schemas
 from linkloom.functions import text, urls
-from linkloom.operators.lookup import MAX_BROADCAST_ROWS
 from linkloom.operators.ordered import previous_value, running_total
 from linkloom.profile import SiteProfile
 
+# Up to this many rows a batch is merged in one task and broadcast.
+SMALL_BATCH = 100_000
+
 
 def next_batch(frontier: DataFrame, urls_table: DataFrame, at: Column, size: int) -> DataFrame:
     """The ``size`` best queued rows that are due at ``at``, with host, marked ``fetching``.
 
     Best is lowest priority number, then lowest depth, then URL. Each task keeps only its
     own best rows. Every frontier row has a urls row, so the join follows the limit and
-    neither table is shuffled, unless the batch itself is too large to broadcast.
+    neither table is shuffled. A batch of more than ``SMALL_BATCH`` rows is taken from
+    range-partitioned slices instead, and joined by a shuffle.
     """
+    order = ["priority", "depth", "url"]
     due = frontier.filter((F.col("status") == "queued") & (F.col("next_fetch_at") <= at))
-    picked = due.orderBy("priority", "depth", "url").limit(size)
+    if size <= SMALL_BATCH:
+        picked = F.broadcast(due.orderBy(*order).limit(size))
+    else:
+        placed = running_total(due, [], order, F.lit(1), "_place")
+        picked = placed.filter(F.col("_place") < size).drop("_place")
     picked = picked.withColumn("status", F.lit("fetching"))
-    picked = F.broadcast(picked) if size <= MAX_BROADCAST_ROWS else picked
     return urls_table.select("url", "host").join(picked, "url")
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions import urls
-from linkloom.operators.dedup import first_contents
+from linkloom.operators.dedup import crawlable_target, first_contents
 from linkloom.operators.html import explode_links
 from linkloom.operators.lookup import broadcast_if_small
 from linkloom.profile import SiteProfile
@@ -72,12 +71,14 @@ def breadth_first(
             seen_hashes = hashes if seen_hashes is None else seen_hashes.unionByName(hashes)
             expanding = kept
         sources = expanding.select(F.col("url").alias("from_url"))
-        offers = links.join(broadcast_if_small(sources, "from_url"), "from_url")
-        if crawlable_only:
-            offers = offers.filter(urls.should_crawl(F.col("to_url"), profile))
+        offers = links.join(broadcast_if_small(sources, "from_url"), "from_url").select(
+            F.col("to_url").alias("url"), "from_url"
+        )
+        wanted = crawlable_target(profile) if crawlable_only else F.lit(True).alias("_crawlable")
         reached = (
-            offers.groupBy(F.col("to_url").alias("url"))
-            .agg(F.min("from_url").alias("discovered_from"))
+            offers.groupBy("url")
+            .agg(F.min("from_url").alias("discovered_from"), wanted)
+            .filter("_crawlable")
             .join(visited.select("url"), "url", "left_anti")
             .select("url", F.lit(depth + 1).alias("depth"), "discovered_from")
         )

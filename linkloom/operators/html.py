@@ -304,11 +304,8 @@ def parse_pages(
     return needed.mapInArrow(run, schema)
 
 
-def explode_links(parsed: DataFrame, profile: SiteProfile, *keep: str) -> DataFrame:
-    """One row per anchor occurrence: the kept columns, pos, to_url, anchor_text, is_internal.
-
-    Targets that may not be stored (see ``rejection_reason``) are left out.
-    """
+def _judged_links(parsed: DataFrame, profile: SiteProfile, *keep: str) -> DataFrame:
+    """The kept columns, pos and link: its target in stored form and why it may not be stored."""
 
     def canonical(link: Column) -> Column:
         first = urls.normalize_url(link["url"], profile)
@@ -336,15 +333,23 @@ def explode_links(parsed: DataFrame, profile: SiteProfile, *keep: str) -> DataFr
             link["to_url"].alias("to_url"),
             link["anchor_text"].alias("anchor_text"),
             urls.host_on_site(link["parts"]["host"], profile).alias("is_internal"),
-            reason.isNull().alias("admitted"),
+            reason.alias("reason"),
         )
 
     # Computed inside the array, so that filters and joins further on read plain fields
     # instead of computing the URL expressions again.
     links = reduce(F.transform, (canonical, stored, checked), F.col("page_links"))
+    return parsed.select(*keep, F.posexplode(links).alias("pos", "link"))
+
+
+def explode_links(parsed: DataFrame, profile: SiteProfile, *keep: str) -> DataFrame:
+    """One row per anchor occurrence: the kept columns, pos, to_url, anchor_text, is_internal.
+
+    Targets that may not be stored (see ``rejection_reason``) are left out.
+    """
     return (
-        parsed.select(*keep, F.posexplode(links).alias("pos", "link"))
-        .filter("link.admitted")
+        _judged_links(parsed, profile, *keep)
+        .filter("link.reason IS NULL")
         .select(*keep, "pos", "link.to_url", "link.anchor_text", "link.is_internal")
     )
 
@@ -354,7 +359,6 @@ def rejected_links(parsed: DataFrame, profile: SiteProfile, *keep: str) -> DataF
     malformed = parsed.select(
         *keep, F.explode("malformed_hrefs").alias("href"), F.lit("malformed").alias("reason")
     )
-    targets = parsed.select(*keep, F.explode("page_links.url").alias("href")).withColumn(
-        "reason", urls.rejection_reason(urls.normalize_url(F.col("href"), profile))
-    )
-    return malformed.unionByName(targets.filter(F.col("reason").isNotNull()))
+    judged = _judged_links(parsed, profile, *keep, "page_links").filter("link.reason IS NOT NULL")
+    href = F.get("page_links", F.col("pos"))["url"].alias("href")
+    return malformed.unionByName(judged.select(*keep, href, F.col("link.reason").alias("reason")))

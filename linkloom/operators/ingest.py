@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -60,7 +60,11 @@ def parse_results(results: DataFrame, profile: SiteProfile, bodies: bool = True)
 
 
 def apply_results(
-    results: DataFrame, tables: CrawlTables, profile: SiteProfile, enforce_robots: bool = False
+    results: DataFrame,
+    tables: CrawlTables,
+    profile: SiteProfile,
+    enforce_robots: bool = False,
+    latest: Callable[[DataFrame], DataFrame] | None = None,
 ) -> AppliedBatch:
     """Route each result: a failure moves the retry state; anything else ends the URL
     and is stored as a page unless its text is stored already; a stored HTML page adds
@@ -70,14 +74,18 @@ def apply_results(
     URLs found in the same batch are applied in a further round, after those of the URLs
     they were found from; there are at most ``max_depth`` such rounds. Results for URLs
     that the frontier does not hold as open are logged but change nothing.
+
+    The frontier may be a history with several rows of a URL; ``latest`` then takes the one
+    that counts, from the rows of the batch's URLs only.
     """
     if enforce_robots:
         results = fr.block_disallowed(results, profile)
     parsed = parse_results(results, profile)
     batch_urls = stage(parsed.select("url").distinct(), "batch_urls")
     known_hashes = tables.pages.select("content_hash")
-    known_entries = near(tables.frontier, batch_urls, "url")
-    entries = known_entries.filter(F.col("status").isin("queued", "fetching"))
+    of_batch = tables.frontier.join(broadcast_if_small(batch_urls, "url"), "url", "left_semi")
+    known = latest(of_batch) if latest else of_batch
+    entries = stage(known.filter(F.col("status").isin("queued", "fetching")), "entries")
 
     rounds: list[_Round] = []
     frontier: list[DataFrame] = []

@@ -7,9 +7,10 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom import schemas
 from linkloom.functions import text, urls
 from linkloom.operators import dedup, frontier as fr, graph
-from linkloom.operators.html import explode_links
+from linkloom.operators.html import explode_links, parse_pages, rejected_links
 from linkloom.operators.ingest import apply_results
 from linkloom.plans import report
 from linkloom.scratch import scratch_path, stage
@@ -19,6 +20,7 @@ from linkloom.sources.tables import CrawlTables, empty_tables
 from linkloom.streaming import states, store
 
 BATCH_SIZE = 50
+FIRST_BATCH = 10
 PAGE_BUDGET = 500
 AUDIT_GAP_SEC = 600
 BATCH_DUE = "timestamp_ntz'2024-01-15 00:00:00'"
@@ -147,6 +149,31 @@ def page_links(spark, folder):
     return explode_links(corpus.parsed_pages(spark, folder, "page_id"), PROFILE, "page_id")
 
 
+def _mixed_pages(spark, folder) -> DataFrame:
+    """Parsed pages with a description and links of every kind put before their html."""
+    number = F.col("page_id").cast("string")
+    head = F.concat(
+        F.lit('<meta name="description" content="About page '), number,
+        F.lit('"><a href="http://CDN.example.org/f'), number, F.lit('?b=2&a=1">cdn</a>'),
+        F.lit('<a href="mailto:a@b.example">m</a><a href="tel:5">t</a><a href="javascript:f()">j</a>'),
+        F.lit('<a href="ftp://b.example/f">f</a><a href="http://:80/x">h</a><a href="http://[x">b</a>'),
+    )
+    pages = corpus.spread(_pages(spark, folder)).withColumn("html", F.concat(head, "html"))
+    return parse_pages(pages, base="url", keep=["page_id"])
+
+
+def page_descriptions(spark, folder):
+    return _mixed_pages(spark, folder).select("page_id", "meta_description")
+
+
+def mixed_links(spark, folder):
+    return explode_links(_mixed_pages(spark, folder), PROFILE, "page_id")
+
+
+def links_rejected(spark, folder):
+    return rejected_links(_mixed_pages(spark, folder), PROFILE, "page_id")
+
+
 # Dedup and upsert
 
 
@@ -219,6 +246,20 @@ def discovery_tree(spark, folder):
     )
 
 
+def bfs_pruned(spark, folder):
+    """Levels when copies do not follow their links; contents are told apart by a few numbers."""
+    pages = _canonical(spark, folder).select(
+        F.col("canonical").alias("url"), F.concat(F.lit("text "), F.col("page_id") % 5).alias("content_hash")
+    )
+    root = corpus.site_root(F.col("url"))
+    roots = pages.select(root.alias("url"), F.concat(F.lit("root "), F.length(root) % 3).alias("content_hash"))
+    contents = pages.unionByName(roots).groupBy("url").agg(F.min("content_hash").alias("content_hash"))
+    return graph.breadth_first(
+        seed_urls(spark, folder), corpus.site_edges(spark, folder), PROFILE,
+        pages=stage(contents, "contents"), crawlable_only=False,
+    )
+
+
 # Frontier
 
 
@@ -246,6 +287,18 @@ def next_batch(spark, folder):
     )
 
 
+def next_batch_again(spark, folder):
+    """The batch after the first, picked from the snapshot the first one leaves."""
+    frontier, hosts = _daily_frontier(spark, folder)
+    frontier = frontier.withColumns(
+        {"discovered_from": F.lit(None).cast("string"), "created_at": F.col("updated_at")}
+    ).select(*schemas.FRONTIER.fieldNames())
+    due = F.expr(BATCH_DUE).cast("timestamp")
+    first = stage(fr.next_batch(frontier, hosts, due, FIRST_BATCH), "first-batch")
+    picked = fr.next_batch(fr.mark_fetching(frontier, first), hosts, due, BATCH_SIZE)
+    return picked.select("url", "host", "status", "priority", "depth")
+
+
 def politeness_slots(spark, folder):
     """Slots for all link targets and pages, first by whether they are pages."""
     pages = _canonical(spark, folder).select(F.col("canonical").alias("url"), F.lit(0).alias("depth"))
@@ -291,6 +344,12 @@ def attempt_rows(spark, folder):
     return rows.withColumn("attempted_at", naive("attempted_at"))
 
 
+def robots_blocked(spark, folder):
+    """The attempt log when results that robots rules forbid fail."""
+    rows = fr.attempt_rows(fr.block_disallowed(corpus.page_results(_pages(spark, folder)), PROFILE))
+    return rows.withColumn("attempted_at", naive("attempted_at"))
+
+
 def page_budget(spark, folder):
     """Documents in order until the budget of stored ones is used; copies are free."""
     hashed = _hashed_documents(spark, folder)
@@ -314,6 +373,34 @@ def apply_results_outcomes(spark, folder):
     )
 
 
+def _applied_pages(spark, folder) -> CrawlTables:
+    """What a batch of all pages adds when every fetch of a URL with a 7 in it fails."""
+    results = corpus.page_results(corpus.spread(_pages(spark, folder)))
+    failed = urls.normalize_url(F.col("url"), PROFILE).contains("7")
+    content = ["http_status", "content_type", "content_length", "html", "is_html"]
+    results = results.withColumns(
+        {"error": F.when(failed, "network failure"), **{c: F.when(~failed, F.col(c)) for c in content}}
+    )
+    return apply_results(results, _queued(results), PROFILE).added
+
+
+def applied_links(spark, folder):
+    return _applied_pages(spark, folder).links.select(*_LINK_COLUMNS)
+
+
+def applied_urls(spark, folder):
+    return _applied_pages(spark, folder).urls.withColumn("discovered_at", naive("discovered_at"))
+
+
+def applied_frontier(spark, folder):
+    return _frontier_view(_applied_pages(spark, folder).frontier)
+
+
+def applied_attempts(spark, folder):
+    rows = _applied_pages(spark, folder).fetch_attempts
+    return rows.withColumn("attempted_at", naive("attempted_at"))
+
+
 # Streams
 
 
@@ -377,6 +464,9 @@ QUERIES = {
     "page_titles": page_titles,
     "page_text": page_text,
     "page_links": page_links,
+    "page_descriptions": page_descriptions,
+    "mixed_links": mixed_links,
+    "rejected_links": links_rejected,
     "upsert_urls": upsert_urls,
     "dedup_content": dedup_content,
     "page_rows": page_rows,
@@ -384,14 +474,21 @@ QUERIES = {
     "expand_frontier": expand_frontier,
     "link_graph": link_graph,
     "bfs_depth": bfs_depth,
+    "bfs_pruned": bfs_pruned,
     "discovery_tree": discovery_tree,
     "next_batch": next_batch,
+    "next_batch_again": next_batch_again,
     "politeness_slots": politeness_slots,
     "politeness_audit": politeness_audit,
     "frontier_state": frontier_state,
     "attempt_rows": attempt_rows,
+    "robots_blocked": robots_blocked,
     "page_budget": page_budget,
     "apply_results": apply_results_outcomes,
+    "applied_links": applied_links,
+    "applied_urls": applied_urls,
+    "applied_frontier": applied_frontier,
+    "applied_attempts": applied_attempts,
     "stream_ingest": stream_ingest,
     "stream_frontier_state": stream_frontier_state,
     "hub_count": _report(report.hub_count, PROFILE),

@@ -424,6 +424,98 @@ SQL = {
     "top_linking_titles": f"{_TABLES} {_TITLES}",
     "crawl_report": f"{_TABLES} {_REPORT}",
 }
+# Kinds of link put before each page: one target is stored, one has no host, one cannot be parsed.
+SQL["page_descriptions"] = "SELECT page_id, 'About page ' || page_id AS meta_description FROM pages"
+SQL["rejected_links"] = """
+    SELECT page_id, unnest(['http://:80/x', 'http://[x']) AS href,
+           unnest(['no host', 'malformed']) AS reason FROM pages"""
+SQL["mixed_links"] = f"""
+    SELECT page_id, (pos + 2)::INTEGER AS pos, to_url, anchor_text, is_internal
+    FROM ({SQL["page_links"]})
+    UNION ALL
+    SELECT page_id, 0, 'http://cdn.example.org/f' || page_id || '/?a=1&b=2', 'cdn', false FROM pages"""
+
+_ALLOWED = f"""({_internal("url")} AND NOT starts_with({_path("url")}, '/es/'))"""
+SQL["robots_blocked"] = f"""
+    SELECT url, {_START} + to_seconds(page_id) AS attempted_at, {_ALLOWED} AS success,
+           CASE WHEN {_ALLOWED} THEN CASE WHEN contains(html, '</html>') THEN 200 ELSE 206 END END
+             AS http_status,
+           CASE WHEN NOT {_ALLOWED} THEN 'request_error' END AS error_type,
+           CASE WHEN NOT {_ALLOWED} THEN 'Blocked by robots.txt' END AS error_message,
+           NULL::INTEGER AS response_time_ms
+    FROM pages"""
+
+SQL["next_batch_again"] = f"""
+    SELECT url, host, status, priority, depth
+    FROM ({SQL["next_batch"].replace("LIMIT 50", "LIMIT 50 OFFSET 10")})"""
+
+# Three levels written out, because a level depends on the contents of all before it.
+_ROOT = "regexp_extract(url, '^([a-z]+://[^/]*/)', 1)"
+
+
+def _level(number: int, earlier: str) -> str:
+    return f"""
+l{number} AS (
+  SELECT e.to_url AS url, min(e.from_url) AS discovered_from
+  FROM edges e JOIN k{number - 1} k ON k.url = e.from_url
+  WHERE e.to_url NOT IN ({earlier}) GROUP BY e.to_url
+)"""
+
+
+SQL["bfs_pruned"] = f"""{_LEVELS.split("walk AS")[0]}
+contents AS (
+  SELECT url, min(content) AS content FROM (
+    SELECT url, 'text ' || (page_id % 5) AS content FROM p
+    UNION ALL SELECT {_ROOT}, 'root ' || (length({_ROOT}) % 3) FROM p
+  ) GROUP BY url
+),
+l0 AS (SELECT DISTINCT url FROM p WHERE url LIKE '%/de/%'),
+k0 AS (SELECT content, min(url) AS url FROM contents SEMI JOIN l0 USING (url) GROUP BY content),
+{_level(1, "SELECT url FROM l0")},
+k1 AS (
+  SELECT content, min(url) AS url FROM contents SEMI JOIN l1 USING (url)
+  WHERE content NOT IN (SELECT content FROM k0) GROUP BY content
+),
+{_level(2, "SELECT url FROM l0 UNION SELECT url FROM l1")}
+SELECT url, 0 AS depth, NULL::VARCHAR AS discovered_from FROM l0
+UNION ALL SELECT url, 1, discovered_from FROM l1
+UNION ALL SELECT url, 2, discovered_from FROM l2"""
+
+# The batch of pages in which no URL with a 7 in it is ever reached.
+_SOME = _TABLES.replace("FROM p_text", "FROM p_text WHERE url NOT LIKE '%7%'")
+_FETCHES = """
+fetches AS (
+  SELECT page_id AS event_id, url, fetched_at AS attempted_at, url NOT LIKE '%7%' AS success,
+         CASE WHEN url LIKE '%7%' THEN 'network failure' END AS error_message,
+         CASE WHEN url NOT LIKE '%7%' THEN
+           CASE WHEN contains(html, '</html>') THEN 200 ELSE 206 END END AS http_status
+  FROM p
+)"""
+SQL["applied_links"] = f"""{_SOME}
+    SELECT from_url, pos, to_url, anchor_text, is_internal, nofollow FROM t_links"""
+SQL["applied_urls"] = rf"""{_SOME}
+    SELECT to_url AS url, regexp_extract(to_url, '^([a-z]+):', 1) AS scheme,
+           {_host("to_url")} AS host, {_path("to_url")} AS path,
+           regexp_extract(to_url, '\?(.*)$', 1) AS query,
+           {_internal("to_url")} AS is_internal, min(fetched_at) AS discovered_at
+    FROM l WHERE to_url NOT IN (SELECT url FROM p) GROUP BY to_url"""
+SQL["applied_attempts"] = f"""WITH {_PAGES}, {_FETCHES}
+    SELECT url, attempted_at, success, http_status,
+           CASE WHEN NOT success THEN 'request_error' END AS error_type, error_message,
+           NULL::INTEGER AS response_time_ms FROM fetches"""
+SQL["applied_frontier"] = f"""{_SOME}, {_FETCHES}, {_states("fetches")},
+    used AS (
+      SELECT url, max(attempted_at) AS updated_at FROM running
+      WHERE successes_before = 0 AND failures_before < 3 GROUP BY url
+    )
+    SELECT url, s.status, 0 AS depth, 10 AS priority, NULL::VARCHAR AS discovered_from,
+           coalesce(s.next_fetch_at, t.seen_at) AS next_fetch_at, s.attempt_count, s.last_error,
+           t.seen_at AS created_at, u.updated_at
+    FROM states s JOIN t_seeds t USING (url) JOIN used u USING (url)
+    UNION ALL
+    SELECT url, status, depth, priority, discovered_from, seen_at, 0, NULL, seen_at, seen_at
+    FROM t_frontier WHERE depth > 0"""
+
 # A stream gives what the batch gives.
 SQL["stream_ingest"] = SQL["page_rows"]
 SQL["stream_frontier_state"] = SQL["frontier_state"]

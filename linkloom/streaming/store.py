@@ -42,8 +42,21 @@ def create_store(spark: SparkSession, root: str, start: CrawlTables) -> None:
     _write_batch(root, _START, start, spark)
 
 
-def read_store(spark: SparkSession, root: str, before: int | None = None) -> CrawlTables:
-    """The committed tables; with ``before``, only what earlier batches committed."""
+def latest_rows(history: DataFrame) -> DataFrame:
+    """Of the frontier rows that batches wrote, the last one of each URL."""
+    values = [c for c in schemas.FRONTIER.fieldNames() if c != "url"]
+    latest = F.max_by(F.struct(*values), _BATCH).alias("row")
+    return history.groupBy("url").agg(latest).select("url", "row.*")
+
+
+def read_store(
+    spark: SparkSession, root: str, before: int | None = None, history: bool = False
+) -> CrawlTables:
+    """The committed tables; with ``before``, only what earlier batches committed.
+
+    With ``history`` the frontier has all its rows and their batch, for ``latest_rows`` to be
+    applied after a lookup: then other rows are neither shuffled nor sorted.
+    """
     # One row per committed batch.
     marks = spark.read.parquet(f"{root}/commits").agg(F.max(_BATCH)).first()[0]
     last = marks if before is None else min(marks, before - 1)
@@ -52,11 +65,11 @@ def read_store(spark: SparkSession, root: str, before: int | None = None) -> Cra
         partitioned = T.StructType([*schema, T.StructField(_BATCH, T.LongType())])
         rows = spark.read.schema(partitioned).parquet(f"{root}/{name}")
         frames[name] = rows.filter(F.col(_BATCH) <= last)
-    # Grouped by the same column it is looked up by, so a lookup filter reaches the scan.
-    values = [c for c in schemas.FRONTIER.fieldNames() if c != "url"]
-    latest = F.max_by(F.struct(*values), _BATCH).alias("row")
-    frames["frontier"] = frames["frontier"].groupBy("url").agg(latest).select("url", "row.*")
-    return CrawlTables(**{name: df.drop(_BATCH) for name, df in frames.items()})
+    frontier = frames.pop("frontier")
+    return CrawlTables(
+        frontier=frontier if history else latest_rows(frontier),
+        **{name: df.drop(_BATCH) for name, df in frames.items()},
+    )
 
 
 def batch_writer(
@@ -67,8 +80,8 @@ def batch_writer(
     def write(results: DataFrame, batch_id: int) -> None:
         spark = results.sparkSession
         with scratch_scope(spark, "micro-batch"):
-            tables = read_store(spark, root, before=batch_id)
-            applied = apply_results(results, tables, profile, enforce_robots)
+            tables = read_store(spark, root, before=batch_id, history=True)
+            applied = apply_results(results, tables, profile, enforce_robots, latest_rows)
             _write_batch(root, batch_id, applied.added, spark)
 
     return write

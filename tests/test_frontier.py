@@ -108,3 +108,12 @@ def test_replace_rows(spark):
     table = spark.createDataFrame([("a", 1), ("b", 1)], "url string, v int")
     changes = spark.createDataFrame([("b", 2), ("c", 2)], "url string, v int")
     assert sorted(map(tuple, fr.replace_rows(table, changes).collect())) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_large_batch_equals_small_one(spark, monkeypatch):
+    rows = [(f"u{i}", "queued", i % 3, i % 2, NOW) for i in range(200)]
+    table = spark.createDataFrame([(r[0], "h") for r in rows], "url string, host string")
+    small = fr.next_batch(_frontier(spark, rows), table, F.lit(NOW), 70).collect()
+    monkeypatch.setattr(fr, "SMALL_BATCH", 10)
+    large = fr.next_batch(_frontier(spark, rows), table, F.lit(NOW), 70).collect()
+    assert len(large) == 70 and sorted(map(str, large)) == sorted(map(str, small))

@@ -267,6 +267,17 @@ def test_stream_equals_loop_and_replay_changes_nothing(spark, profile, tmp_path)
     assert view(store.read_store(spark, compact)) == want
 
 
+def test_frontier_rows_are_looked_up_before_the_latest_is_taken(spark, profile, tmp_path):
+    root = str(tmp_path / "store")
+    store.create_store(spark, root, start_tables(spark, profile, [article(1)]))
+    history = store.read_store(spark, root, history=True).frontier
+    keys = spark.createDataFrame([(article(1),)], "url string")
+    found = store.latest_rows(history.join(keys, "url", "left_semi"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+    assert found.columns == schemas.FRONTIER.fieldNames() and found.count() == 1
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "json", "orc"])
 def test_raw_results_read_back(spark, tmp_path, fmt):
     rows = [result(article(1), 1, page("x")), result(article(2), 2, error="boom")]
