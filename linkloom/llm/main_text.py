@@ -64,26 +64,99 @@ _CHROME_WORDS = frozenset(
     "related recommended comment comments reply replies respond disqus pagination pager toolbar hidden".split()
 )
 _CONTENT_WORDS = frozenset("article content post entry story main maintext".split())
+# First parts of names that tell of a layout or a state, and names that style only.
+_MODIFIERS = frozenset("has no with without not is hide show sm md lg xl xs overflow backface".split())
+_STYLE_PARTS = frozenset("hidden".split())
+# Of _RAW: what holds characters only, and what holds markup that must itself be balanced.
+_SCRIPT = frozenset("script style".split())
+_CHARACTERS = frozenset("script style textarea title iframe".split())
+
+
+def _kinds(names: str) -> set[str]:
+    """What class and id names tell of an element: ``chrome``, ``content``, ``header``."""
+    out = set()
+    for name in names.split():
+        parts = _WORD.findall(name)
+        if len(parts) > 1:
+            if parts[0] in _MODIFIERS:
+                continue
+            parts = [w for w in parts if w not in _STYLE_PARTS or name == "visually-hidden"]
+        if not _CHROME_WORDS.isdisjoint(parts):
+            out.add("chrome")
+        elif "header" in parts:
+            out.add("header")
+        elif not _CONTENT_WORDS.isdisjoint(parts):
+            out.add("content")
+    return out
+
+
+def _after_raw(page: str, at: int, name: str, outer: set[str], endless: set[str]) -> int:
+    """Where the page goes on after the start of a raw element that ends at ``at``.
+
+    One that is not closed inside its parent ends at the next tag; only a script or style
+    takes the rest of the page.
+    """
+    if name not in endless:
+        done = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
+        if not done:
+            endless.add(name)
+        elif name in _CHARACTERS:
+            return done.end()
+        else:
+            opened: dict[str, int] = {}
+            last = at
+            while tag := _TAG.search(page, last):
+                last = tag.end()
+                if tag[2] is None:
+                    continue
+                inner = tag[2].lower()
+                if not tag[1]:
+                    if inner == name and name in ("option", "button", "select"):
+                        break  # these do not nest
+                    if inner in _SCRIPT and inner not in endless:
+                        last = _after_raw(page, last, inner, outer, endless)
+                    elif inner not in _VOID and not tag[3].endswith("/"):
+                        opened[inner] = opened.get(inner, 0) + 1
+                elif opened.get(inner):
+                    opened[inner] -= 1
+                elif inner == name:
+                    return last
+                elif inner in outer:
+                    break
+    if name in _SCRIPT:
+        return len(page)
+    following = _TAG.search(page, at)
+    return following.start() if following else len(page)
 
 
 def _zone(name: str, attributes: str, now: int) -> int:
     """The zone inside an element that stands in the zone ``now``."""
-    if now == CHROME or name in _CHROME:
+    if name in ("html", "body"):
+        return now
+    if now == CHROME and name != "main" and "main" not in attributes.lower():
+        return CHROME
+    if name in _CHROME:
         return CHROME
     own: dict[str, str] = {}
     if attributes and not attributes.isspace():
         own = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    words = set(_WORD.findall(f"{own.get('class', '')} {own.get('id', '')}".lower())) if own else set()
     role = own.get("role", "").lower()
-    if role in _ROLES or words & _CHROME_WORDS or "hidden" in own or own.get("aria-hidden") == "true":
+    if role in _ROLES or "hidden" in own or own.get("aria-hidden") == "true":
         return CHROME
     if "display:none" in own.get("style", "").replace(" ", "").lower():
         return CHROME
-    if (name == "header" or "header" in words) and now < CONTENT:
+    if name == "main" or role == "main":
+        return ARTICLE  # no part of chrome, wherever it stands
+    if now == CHROME:
         return CHROME
-    if name in ("article", "main") or role in ("main", "article"):
+    if name == "article" or role == "article":
         return ARTICLE
-    return max(now, CONTENT) if words & _CONTENT_WORDS and name != "body" else now
+    kinds = _kinds(f"{own.get('class', '')} {own.get('id', '')}".lower()) if own else set()
+    if "content" in kinds and name != "header":
+        return max(now, CONTENT)
+    if "chrome" in kinds or ((name == "header" or "header" in kinds) and now < CONTENT):
+        return CHROME
+    return now
 
 
 def blocks(page: str | None) -> list[tuple[int, int, str]]:
@@ -93,6 +166,7 @@ def blocks(page: str | None) -> list[tuple[int, int, str]]:
     stack: list[tuple[str, int]] = []
     zone, links, in_link = OPEN, 0, 0
     pieces: list[str] = []
+    endless: set[str] = set()  # raw elements without an end tag from here on
 
     def say(raw: str) -> None:
         nonlocal links
@@ -143,8 +217,7 @@ def blocks(page: str | None) -> list[tuple[int, int, str]]:
             continue
         if name in _RAW:
             if not tag[3].endswith("/"):
-                done = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
-                at = done.end() if done else len(page)
+                at = _after_raw(page, at, name, {n for n, _ in stack}, endless)
             if not inline:
                 pieces.append(" ")
             continue
@@ -213,7 +286,8 @@ def choose(page: list[tuple[int, int, str]], covered: np.ndarray) -> str:
         at += n
         if zone == OPEN and link < LINK_PERCENT and 100 * same < COVER_PERCENT * n:
             kept.append(text)
-    return " ".join(kept or [t for z, link, t in page if z == OPEN and link < LINK_PERCENT])
+    plain = [t for z, link, t in page if z == OPEN and link < LINK_PERCENT]
+    return " ".join(kept or plain or [t for z, _, t in page if z == OPEN])
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

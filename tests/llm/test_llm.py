@@ -423,3 +423,26 @@ def test_main_text_of_the_tables(spark, duck):
         article = html[html.index("<article>") + 9 : html.index("</article>")]
         assert got[key].text == main_text.choose(main_text.blocks(f"<article>{article}</article>"), None)
         assert got[key].n_chars == len(got[key].text) > 0
+
+
+@pytest.mark.parametrize("start, end", [
+    ('<body class="has-sidebar"><p>', ""),
+    ('<div class="content no-sidebar"><p>', "</div>"),
+    ('<article class="post overflow-hidden"><p>', "</article>"),
+    ('<main class="search-page"><p>', "</main>"),
+    ('<div id="modal"><main><p>', "</main></div>"),
+    ("<article><datalist><option>A<option>B</datalist><p>", "</article><select><option>x</option></select>"),
+    ("<article><p><button>Buy<p>", "</article><div><button>x</button></div>"),
+    ("<body><video src=x><p>", "</body>"),
+    ("<article><div><svg><path></div><p>", "</article><svg></svg>"),
+])
+def test_main_text_is_not_dropped_whole(start, end):
+    got = main_text.choose(main_text.blocks(f"{start}All of the <i>article</i> text.</p>{end}"), None if "article" in start or "main" in start or "content" in start else np.zeros(9, bool))
+    assert got == "All of the article text."
+
+
+def test_main_text_keeps_chrome_out():
+    page = '<div class="post-navigation">Next</div><div class="right-sidebar">Side</div><article><button><div>Buy</div> now</button><p>Text.</p><div class="related posts-list">More</div></article>'
+    assert main_text.choose(main_text.blocks(page), None) == "Text."
+    links = main_text.blocks('<p><a href="/a">All in links</a></p>')
+    assert main_text.choose(links, np.zeros(9, bool)) == "All in links"
