@@ -5,17 +5,14 @@ forms, adverts, notices, comments: by element, role or class word), ``article``
 main element), ``content`` (in an element with a class word for content) or ``open``. Script,
 style and the like are left out.
 
-The token streams of a host's pages are put one after the other, with a border that occurs once
-after each page, and their suffixes sorted to a depth of ``RUN`` tokens. Neighbours in that
-order that agree form the substrings of ``RUN`` tokens or more that are repeated; those on
-enough distinct pages are boilerplate. A block is boilerplate if such runs cover most of it.
-
-Of a page, the article zone is the text; without one, the content zone; without that, the open
-blocks that are neither boilerplate nor mostly links; if nothing is left, all open blocks. An
-article zone is not cut by repeats: copies of an article repeat it rightly.
-
-A host is worked on in groups of bounded size, pages dealt to them by hash, because a host may
-hold a third of all pages; what a host repeats everywhere is repeated in each group.
+The candidates of a page are its article zone; without one, its content zone; without that, its
+open blocks that are not mostly links; if there are none, all open blocks. The suffixes of the
+candidates' token streams are cut to ``RUN`` tokens and dealt by the hash of host and tokens into
+buckets of bounded size, each sorted: neighbours that agree form the runs that are repeated. A
+run on ``LEAST_PAGES`` distinct texts of a host or more is boilerplate, however many pages the
+host has. An open block is boilerplate if such runs cover most of it; if nothing is left of a
+page, all its candidates are the text. An article zone is not cut by repeats: copies of an
+article repeat it rightly.
 
 Defined cases: null or empty html gives an empty text; a null or odd url counts as the host
 ``''``; repeated pages are each extracted (equal pages do not make their text boilerplate as long
@@ -25,6 +22,7 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 
@@ -38,12 +36,12 @@ from linkloom.scratch import stage
 
 RUN = 6
 LEAST_PAGES = 3
-PAGE_PERCENT = 10
 COVER_PERCENT = 80
 LINK_PERCENT = 60
-GROUP_PAGES = 96
-GROUP_BYTES = 6 << 20
-_MAX_BROADCAST_HOSTS = 1_000_000
+BUCKET_BYTES = 32 << 20
+_MAX_BROADCAST_BYTES = 32 << 20
+_MAX_BUCKETS = 1 << 16
+_SLICE = 1 << 16
 CHROME, OPEN, CONTENT, ARTICLE = 0, 1, 2, 3
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -241,9 +239,9 @@ def blocks(page: str | None) -> list[tuple[int, int, str]]:
     return out
 
 
-def repeated(streams: list[list[str]], run: int = RUN, percent: int = PAGE_PERCENT, least: int = LEAST_PAGES) -> list[np.ndarray]:
+def repeated(streams: list[list[str]], run: int = RUN, percent: int = 0, least: int = LEAST_PAGES) -> list[np.ndarray]:
     """For each stream, which tokens lie in a substring of ``run`` tokens or more that stands in
-    at least ``least`` streams and ``percent`` hundredths of them."""
+    at least ``least`` streams and ``percent`` hundredths of them. In memory, for few streams."""
     sizes = np.array([len(s) + 1 for s in streams], np.int64)
     number: dict[str, int] = {}
     text = np.fromiter(
@@ -274,73 +272,210 @@ def repeated(streams: list[list[str]], run: int = RUN, percent: int = PAGE_PERCE
     return [covered[e - n : e - 1] for e, n in zip(ends, sizes)]
 
 
-def choose(page: list[tuple[int, int, str]], covered: np.ndarray) -> str:
-    """The text of a page from its blocks and the repeated tokens of its stream."""
+def candidates(page: list[tuple[int, int, str]]) -> tuple[bool, list[str]]:
+    """Whether markup told the main text, and the blocks that may belong to it."""
     for zone in (ARTICLE, CONTENT):
         if any(z == zone for z, _, _ in page):
-            return " ".join(t for z, _, t in page if z >= zone)
+            return True, [t for z, _, t in page if z >= zone]
+    plain = [t for z, link, t in page if z == OPEN and link < LINK_PERCENT]
+    return False, plain or [t for z, _, t in page if z == OPEN]
+
+
+def cut(told: bool, texts: list[str], covered: np.ndarray | None) -> str:
+    """The text of a page from its candidates and the repeated tokens of their stream."""
+    if covered is None or told or not covered.any():
+        return " ".join(texts)
     kept, at = [], 0
-    for zone, link, text in page:
+    for text in texts:
         n = text.count(" ") + 1
         same = int(covered[at : at + n].sum())
         at += n
-        if zone == OPEN and link < LINK_PERCENT and 100 * same < COVER_PERCENT * n:
+        if 100 * same < COVER_PERCENT * n:
             kept.append(text)
-    plain = [t for z, link, t in page if z == OPEN and link < LINK_PERCENT]
-    return " ".join(kept or plain or [t for z, _, t in page if z == OPEN])
+    return " ".join(kept or texts)
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Per row of ``pages``: key, url, ``text`` and ``n_chars``."""
-    key_type = pages.schema[key].dataType.simpleString()
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    volume = F.coalesce(F.octet_length(html), F.lit(0)).cast("long")
-    hosts = pages.select(host.alias("host"), volume.alias("_v")).groupBy("host").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / GROUP_PAGES), F.ceil(F.sum("_v") / GROUP_BYTES), F.lit(1)
-        ).alias("parts")
+def choose(page: list[tuple[int, int, str]], covered: np.ndarray | None) -> str:
+    """The text of a page from its blocks and the repeated tokens of its candidates."""
+    return cut(*candidates(page), covered)
+
+
+class _Numbers(dict):
+    """A number of 64 bits for each token."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        out = self[token] = int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
+        return out
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
+
+
+def _suffixes(numbers: _Numbers, hosts: list[str], pages: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(page, first token, hash of host and ``run`` tokens) of all suffixes that have so many."""
+    streams = [" ".join(texts).split(" ") if texts else [] for texts in pages]
+    sizes = np.array([len(s) for s in streams], np.int64)
+    tokens = np.fromiter((numbers[w] for s in streams for w in s), np.uint64, int(sizes.sum()))
+    page = np.repeat(np.arange(len(pages)), sizes)
+    first = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.flatnonzero(first + run <= sizes[page])
+    h = np.array([numbers[f"host {x}"] for x in hosts], np.uint64)[page[at]]
+    for k in range(run):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + tokens[at + k]
+    return page[at], first[at], _mixed(h)
+
+
+def _short(h: np.ndarray) -> bytes:
+    """The low 48 bits of each hash; the bucket tells more of them."""
+    return np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    out = np.ones(len(x), bool)
+    out[1:] = x[1:] != x[:-1]
+    return out
+
+
+def _dealt(buckets: int):
+    """Batch function: distinct suffixes of the units, one row a bucket."""
+
+    def make():
+        numbers = _Numbers()
+
+        def step(batch: pa.RecordBatch):
+            for a in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(a, _SLICE)
+                units, firsts = np.unique(part.column(0).to_numpy(), return_index=True)
+                host, texts = part.column(1).take(pa.array(firsts)), part.column(2).take(pa.array(firsts))
+                page, _, h = _suffixes(numbers, host.to_pylist(), texts.to_pylist(), RUN)
+                bucket = (h >> np.uint64(48)).astype(np.int64) % buckets
+                order = np.lexsort((h, page, bucket))
+                page, h, bucket = page[order], h[order], bucket[order]
+                new = _starts(h) | _starts(page)
+                page, h, bucket = page[new], h[new], bucket[new]
+                ends = np.flatnonzero(_starts(bucket)).tolist() + [len(h)]
+                rows = []
+                for i, j in zip(ends, ends[1:]):
+                    own, local = np.unique(page[i:j], return_inverse=True)
+                    rows.append((int(bucket[i]), units[own].tobytes(), local.astype(np.uint16).tobytes(), _short(h[i:j])))
+                columns = list(zip(*rows)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 3))],
+                    ["bucket", "units", "local", "hashes"],
+                )
+
+        return step
+
+    return make
+
+
+def _of_bucket(table: pa.Table) -> pa.Table:
+    """Per unit, its suffixes that enough distinct units of the host share."""
+    units, hashes = [], []
+    for k in range(table.num_rows):
+        own = np.frombuffer(table["units"][k].as_py(), np.int64)
+        units.append(own[np.frombuffer(table["local"][k].as_py(), np.uint16)])
+        hashes.append(_long(table["hashes"][k].as_py()))
+    unit, h = np.concatenate(units), np.concatenate(hashes)
+    order = np.lexsort((unit, h))
+    unit, h = unit[order], h[order]
+    new = _starts(unit) | _starts(h)  # equal pages count once
+    unit, h = unit[new], h[new]
+    run = np.cumsum(_starts(h)) - 1
+    many = np.bincount(run)[run] >= LEAST_PAGES
+    unit, h = unit[many], h[many]
+    order = np.argsort(unit, kind="stable")
+    unit, h = unit[order], h[order]
+    ends = np.flatnonzero(_starts(unit)).tolist() + [len(h)]
+    return pa.table(
+        {
+            "unit": pa.array(unit[ends[:-1]], pa.int64()),
+            "marks": pa.array([_short(h[i:j]) for i, j in zip(ends, ends[1:])], pa.binary()),
+        }
     )
 
+
+def _read_pages():
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hosts = batch.column(3).to_pylist()
+        read = [candidates(blocks(h.as_py())) for h in batch.column(2)]
+        units = [
+            int.from_bytes(hashlib.blake2b("\x1f".join((x, *t)).encode(), digest_size=8).digest(), "little", signed=True)
+            for x, (_, t) in zip(hosts, read)
+        ]
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0), batch.column(1), batch.column(3), pa.array(units, pa.int64()),
+                pa.array([k for k, _ in read], pa.bool_()),
+                pa.array([t for _, t in read], pa.list_(pa.string())),
+            ],
+            ["key", "url", "host", "unit", "told", "texts"],
+        )
+
+    return step
+
+
+def _cut_pages(key: str):
     def make():
+        numbers = _Numbers()
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            read = [blocks(h.as_py()) for h in batch.column(2)]
-            zones = [[z for z, _, _ in b] for b in read]
-            link = [[k for _, k, _ in b] for b in read]
+            hosts, told, pages = (batch.column(k).to_pylist() for k in (2, 3, 4))
+            marks = [np.concatenate([_long(m) for m in x]) if x else None for x in batch.column(5).to_pylist()]
+            texts = []
+            for host, is_told, page, own in zip(hosts, told, pages, marks):
+                covered = None
+                if own is not None:
+                    _, first, h = _suffixes(numbers, [host], [page], RUN)
+                    at = first[np.isin(h & np.uint64((1 << 48) - 1), own)]
+                    size = sum(t.count(" ") + 1 for t in page)
+                    step_at = np.bincount(at, minlength=size + 1) - np.bincount(at + RUN, minlength=size + 1)
+                    covered = np.cumsum(step_at)[:size] > 0
+                texts.append(cut(is_told, page, covered))
             return pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(1), batch.column(3), batch.column(4),
-                    pa.array(zones, pa.list_(pa.int32())), pa.array(link, pa.list_(pa.int32())),
-                    pa.array([[t for _, _, t in b] for b in read], pa.list_(pa.string())),
+                    batch.column(0), batch.column(1), pa.array(texts, pa.string()),
+                    pa.array([len(t) for t in texts], pa.int64()),
                 ],
-                ["key", "url", "host", "part", "zones", "links", "texts"],
+                [key, "url", "text", "n_chars"],
             )
 
         return step
 
-    schema = f"key {key_type}, url string, host string, part long, zones array<int>, links array<int>, texts array<string>"
-    hosts = stage(hosts, "hosts")
-    if hosts.count() <= _MAX_BROADCAST_HOSTS:  # one narrow row a host; bodies are not shuffled
-        hosts = F.broadcast(hosts)
-    # The url breaks ties between null keys.
-    part = F.pmod(F.xxhash64(F.col(key), "url"), "parts")
-    told = pages.select(key, F.col(url).cast("string").alias("url"), html, host.alias("host"))
-    told = told.join(hosts, "host").withColumn("part", part)
-    read = map_texts(told, [key, "url", html, "host", "part"], schema, make)
-
-    def of_group(table: pa.Table) -> pa.Table:
-        pages_read = [
-            list(zip(z, k, t))
-            for z, k, t in zip(table["zones"].to_pylist(), table["links"].to_pylist(), table["texts"].to_pylist())
-        ]
-        covered = repeated([[w for _, _, t in page for w in t.split(" ")] for page in pages_read])
-        texts = [choose(page, c) for page, c in zip(pages_read, covered)]
-        return pa.table(
-            {
-                key: table["key"], "url": table["url"], "text": pa.array(texts, pa.string()),
-                "n_chars": pa.array([len(t) for t in texts], pa.int64()),
-            }
-        )
+    return make
 
-    return read.groupBy("host", "part").applyInArrow(
-        of_group, f"`{key}` {key_type}, url string, text string, n_chars long"
+
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """Per row of ``pages``: key, url, ``text`` and ``n_chars``."""
+    key_type = pages.schema[key].dataType.simpleString()
+    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    told = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), html, host.alias("host"))
+    schema = f"key {key_type}, url string, host string, unit long, told boolean, texts array<string>"
+    read = stage(map_texts(told, ["key", "url", html, "host"], schema, lambda: _read_pages()), "candidates")
+    size = F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t))
+    volume = read.agg(F.sum(size)).first()[0] or 0
+    buckets = min(_MAX_BUCKETS, 1 << (64 + volume // BUCKET_BYTES - 1).bit_length())
+    dealt = map_texts(
+        read, ["unit", "host", "texts"], "bucket long, units binary, local binary, hashes binary", _dealt(buckets)
     )
+    marks = stage(dealt.groupBy("bucket").applyInArrow(_of_bucket, "unit long, marks binary"), "marks")
+    weight = marks.agg(F.sum(F.octet_length("marks") + 16)).first()[0] or 0
+    marks = marks.groupBy("unit").agg(F.collect_list("marks").alias("marks"))
+    if weight <= _MAX_BROADCAST_BYTES:  # texts are not shuffled
+        marks = F.broadcast(marks)
+    marked = read.join(marks, "unit", "left")
+    return map_texts(
+        marked, ["key", "url", "host", "told", "texts", "marks"],
+        f"`{key}` {key_type}, url string, text string, n_chars long", _cut_pages(key),
+    )

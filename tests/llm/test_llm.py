@@ -7,6 +7,8 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -446,3 +448,43 @@ def test_main_text_keeps_chrome_out():
     assert main_text.choose(main_text.blocks(page), None) == "Text."
     links = main_text.blocks('<p><a href="/a">All in links</a></p>')
     assert main_text.choose(links, np.zeros(9, bool)) == "All in links"
+
+
+def test_main_text_counts_repeats_over_the_whole_host(spark, monkeypatch):
+    """A passage on 4 pages of 1,500 is boilerplate as it is on 4 pages of 10."""
+    words = np.random.default_rng(7)
+    notice = "please sign up today for the daily letter of this site"
+    rows = []
+    for host, n in (("small", 10), ("large", 1500)):
+        for i in range(n):
+            own = " ".join(f"w{k}" for k in words.integers(0, 50_000, 40))
+            extra = f"<div>{notice}</div>" if i % (n // 4 + 1) == 0 else ""
+            rows.append((len(rows), f"http://{host}.example/{i}", f"{extra}<p>{own}</p>", own))
+    assert sum(notice in h for _, _, h, _ in rows) == 8
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    for limit in (main_text._MAX_BROADCAST_BYTES, -1):
+        monkeypatch.setattr(main_text, "_MAX_BROADCAST_BYTES", limit)
+        got = {r.page_id: r.text for r in main_text.extract(pages).collect()}
+        assert got == {i: own for i, _, _, own in rows}
+
+
+def test_main_text_marks_equal_the_plain_search():
+    rng = np.random.default_rng(8)
+    pages = [[" ".join(str(w) for w in rng.integers(0, 3, int(rng.integers(1, 90))))] for _ in range(12)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(12), pa.int64()), pa.array(["h"] * 12), pa.array(pages)], ["unit", "host", "texts"]
+    )
+    found = defaultdict(set)
+    tables = [pa.Table.from_batches([b]) for b in main_text._dealt(4)()(batch)]
+    for table in tables:
+        for bucket in set(table["bucket"].to_pylist()):
+            out = main_text._of_bucket(table.filter(pc.equal(table["bucket"], bucket)))
+            for unit, marks in zip(out["unit"].to_pylist(), out["marks"].to_pylist()):
+                found[unit].update(main_text._long(marks).tolist())
+    numbers = main_text._Numbers()
+    for k, want in enumerate(main_text.repeated([p[0].split(" ") for p in pages])):
+        _, first, h = main_text._suffixes(numbers, ["h"], [pages[k]], main_text.RUN)
+        got = np.zeros(len(want), bool)
+        for at, x in zip(first, h & np.uint64((1 << 48) - 1)):
+            got[at : at + main_text.RUN] |= int(x) in found[k]
+        assert np.array_equal(got, want)
