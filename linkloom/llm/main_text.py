@@ -10,13 +10,15 @@ open blocks that are not mostly links; if there are none, all open blocks. The s
 candidates' token streams are cut to ``RUN`` tokens and dealt by the hash of host and tokens into
 buckets of bounded size, each sorted: neighbours that agree form the runs that are repeated. A
 run on ``LEAST_PAGES`` distinct texts of a host or more is boilerplate, however many pages the
-host has. An open block is boilerplate if such runs cover most of it; if nothing is left of a
-page, all its candidates are the text. An article zone is not cut by repeats: copies of an
-article repeat it rightly.
+host has. It is cut in every zone: a block or sentence that such runs cover mostly, and any stretch
+of ``CUT`` tokens that they cover. If nothing is left of a page, all its candidates are the text.
+
+Copies of an article repeat it rightly, so pages with equal or nearly equal candidates count once.
+Nearly equal: pages of a host that share a band of minimum hashes over pairs of tokens, and agree
+in ``NEAR_PERCENT`` of 64 of them, and what is connected so.
 
 Defined cases: null or empty html gives an empty text; a null or odd url counts as the host
-``''``; repeated pages are each extracted (equal pages do not make their text boilerplate as long
-as something else would be left); unclosed and stray tags are tolerated; other columns are
+``''``; repeated pages are each extracted (and do not make their text boilerplate); unclosed and stray tags are tolerated; other columns are
 ignored.
 """
 
@@ -32,16 +34,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import map_texts
+from linkloom.llm.components import components
 from linkloom.scratch import stage
 
 RUN = 6
 LEAST_PAGES = 3
 COVER_PERCENT = 80
+CUT = 2 * RUN  # shorter repeats inside a sentence of its own are turns of phrase
+NEAR_PERCENT = 80
+BANDS, BAND_ROWS, MINIMA = 8, 5, 64
 LINK_PERCENT = 60
 BUCKET_BYTES = 32 << 20
 _MAX_BROADCAST_BYTES = 32 << 20
 _MAX_BUCKETS = 1 << 16
 _SLICE = 1 << 16
+_SENTENCE_ENDS = tuple(".!?…。！？")
 CHROME, OPEN, CONTENT, ARTICLE = 0, 1, 2, 3
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -272,32 +279,38 @@ def repeated(streams: list[list[str]], run: int = RUN, percent: int = 0, least:
     return [covered[e - n : e - 1] for e, n in zip(ends, sizes)]
 
 
-def candidates(page: list[tuple[int, int, str]]) -> tuple[bool, list[str]]:
-    """Whether markup told the main text, and the blocks that may belong to it."""
+def candidates(page: list[tuple[int, int, str]]) -> list[str]:
+    """The blocks that may belong to the main text."""
     for zone in (ARTICLE, CONTENT):
         if any(z == zone for z, _, _ in page):
-            return True, [t for z, _, t in page if z >= zone]
+            return [t for z, _, t in page if z >= zone]
     plain = [t for z, link, t in page if z == OPEN and link < LINK_PERCENT]
-    return False, plain or [t for z, _, t in page if z == OPEN]
+    return plain or [t for z, _, t in page if z == OPEN]
 
 
-def cut(told: bool, texts: list[str], covered: np.ndarray | None) -> str:
+def cut(texts: list[str], covered: np.ndarray | None) -> str:
     """The text of a page from its candidates and the repeated tokens of their stream."""
-    if covered is None or told or not covered.any():
+    if covered is None or not covered.any():
         return " ".join(texts)
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], covered, [0]))))
+    drop = np.zeros(len(covered), bool)
+    for start, end in zip(edges[::2], edges[1::2]):
+        drop[start:end] = end - start >= CUT
     kept, at = [], 0
     for text in texts:
-        n = text.count(" ") + 1
-        same = int(covered[at : at + n].sum())
-        at += n
-        if 100 * same < COVER_PERCENT * n:
-            kept.append(text)
+        words = text.split(" ")
+        ends = [k for k, w in enumerate(words, 1) if w.endswith(_SENTENCE_ENDS)]
+        for start, end in ((0, len(words)), *zip([0, *ends], [*ends, len(words)])):
+            if 100 * int(covered[at + start : at + end].sum()) >= COVER_PERCENT * (end - start):
+                drop[at + start : at + end] = True
+        kept += [w for w, gone in zip(words, drop[at : at + len(words)]) if not gone]
+        at += len(words)
     return " ".join(kept or texts)
 
 
 def choose(page: list[tuple[int, int, str]], covered: np.ndarray | None) -> str:
     """The text of a page from its blocks and the repeated tokens of its candidates."""
-    return cut(*candidates(page), covered)
+    return cut(candidates(page), covered)
 
 
 class _Numbers(dict):
@@ -330,6 +343,49 @@ def _suffixes(numbers: _Numbers, hosts: list[str], pages: list[list[str]], run:
     return page[at], first[at], _mixed(h)
 
 
+_FACTORS = np.random.default_rng(11).integers(1, 1 << 63, MINIMA, np.uint64) | np.uint64(1)
+
+
+def _signatures(numbers: _Numbers, hosts: list[str], pages: list[list[str]]) -> list[tuple[list[int], bytes] | None]:
+    """Band keys and the low bits of the minimum hashes of each page with ``RUN`` tokens."""
+    out: list[tuple[list[int], bytes] | None] = [None] * len(pages)
+    long = [k for k, t in enumerate(pages) if sum(x.count(" ") + 1 for x in t) >= RUN]
+    if not long:
+        return out
+    page, _, h = _suffixes(numbers, [hosts[k] for k in long], [pages[k] for k in long], 2)
+    first = np.flatnonzero(_starts(page))
+    least = np.stack([np.minimum.reduceat(_upper(h * f), first) for f in _FACTORS], 1)
+    for k, row in zip(long, least):
+        bands = row[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
+        keys = [
+            int.from_bytes(hashlib.blake2b(f"{hosts[k]} {i} ".encode() + b.tobytes(), digest_size=8).digest(), "little", signed=True)
+            for i, b in enumerate(bands)
+        ]
+        out[k] = keys, (row & np.uint64(255)).astype(np.uint8).tobytes()
+    return out
+
+
+def _upper(h: np.ndarray) -> np.ndarray:
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
+
+
+def _near(table: pa.Table) -> pa.Table:
+    """Pairs of nearly equal units: each with the first of its band, else with the one before."""
+    band, unit = table["band"].to_numpy(), table["unit"].to_numpy()
+    signature = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, MINIMA)
+    order = np.lexsort((unit, band))
+    band, unit, signature = band[order], unit[order], signature[order]
+    new = _starts(band)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(band)), 0))
+    pairs = []
+    for other in (head, np.maximum(head, np.arange(len(band)) - 1)):
+        same = (signature == signature[other]).sum(1)
+        at = np.flatnonzero((100 * same >= NEAR_PERCENT * MINIMA) & (unit != unit[other]))
+        pairs.append(np.stack((unit[at], unit[other[at]]), 1))
+    pairs = np.unique(np.concatenate(pairs), axis=0)
+    return pa.table({"u": pa.array(pairs[:, 0], pa.int64()), "v": pa.array(pairs[:, 1], pa.int64())})
+
+
 def _short(h: np.ndarray) -> bytes:
     """The low 48 bits of each hash; the bucket tells more of them."""
     return np.ascontiguousarray(h.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
@@ -348,7 +404,7 @@ def _starts(x: np.ndarray) -> np.ndarray:
 
 
 def _dealt(buckets: int):
-    """Batch function: distinct suffixes of the units, one row a bucket."""
+    """Batch function: distinct suffixes of the units and the units' groups, one row a bucket."""
 
     def make():
         numbers = _Numbers()
@@ -357,7 +413,8 @@ def _dealt(buckets: int):
             for a in range(0, batch.num_rows, _SLICE):
                 part = batch.slice(a, _SLICE)
                 units, firsts = np.unique(part.column(0).to_numpy(), return_index=True)
-                host, texts = part.column(1).take(pa.array(firsts)), part.column(2).take(pa.array(firsts))
+                host, texts, group = (part.column(k).take(pa.array(firsts)) for k in (1, 2, 3))
+                group = group.to_numpy()
                 page, _, h = _suffixes(numbers, host.to_pylist(), texts.to_pylist(), RUN)
                 bucket = (h >> np.uint64(48)).astype(np.int64) % buckets
                 order = np.lexsort((h, page, bucket))
@@ -368,11 +425,11 @@ def _dealt(buckets: int):
                 rows = []
                 for i, j in zip(ends, ends[1:]):
                     own, local = np.unique(page[i:j], return_inverse=True)
-                    rows.append((int(bucket[i]), units[own].tobytes(), local.astype(np.uint16).tobytes(), _short(h[i:j])))
-                columns = list(zip(*rows)) or [[]] * 4
+                    rows.append((int(bucket[i]), units[own].tobytes(), group[own].tobytes(), local.astype(np.uint16).tobytes(), _short(h[i:j])))
+                columns = list(zip(*rows)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 3))],
-                    ["bucket", "units", "local", "hashes"],
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 4))],
+                    ["bucket", "units", "groups", "local", "hashes"],
                 )
 
         return step
@@ -381,19 +438,20 @@ def _dealt(buckets: int):
 
 
 def _of_bucket(table: pa.Table) -> pa.Table:
-    """Per unit, its suffixes that enough distinct units of the host share."""
-    units, hashes = [], []
+    """Per unit, its suffixes that units of enough groups of the host share."""
+    units, groups, hashes = [], [], []
     for k in range(table.num_rows):
-        own = np.frombuffer(table["units"][k].as_py(), np.int64)
-        units.append(own[np.frombuffer(table["local"][k].as_py(), np.uint16)])
+        local = np.frombuffer(table["local"][k].as_py(), np.uint16)
+        units.append(np.frombuffer(table["units"][k].as_py(), np.int64)[local])
+        groups.append(np.frombuffer(table["groups"][k].as_py(), np.int64)[local])
         hashes.append(_long(table["hashes"][k].as_py()))
-    unit, h = np.concatenate(units), np.concatenate(hashes)
-    order = np.lexsort((unit, h))
-    unit, h = unit[order], h[order]
-    new = _starts(unit) | _starts(h)  # equal pages count once
-    unit, h = unit[new], h[new]
+    unit, group, h = np.concatenate(units), np.concatenate(groups), np.concatenate(hashes)
+    order = np.lexsort((unit, group, h))
+    unit, group, h = unit[order], group[order], h[order]
+    new = _starts(unit) | _starts(h)
+    unit, group, h = unit[new], group[new], h[new]
     run = np.cumsum(_starts(h)) - 1
-    many = np.bincount(run)[run] >= LEAST_PAGES
+    many = np.bincount(run, weights=_starts(group) | _starts(h))[run] >= LEAST_PAGES
     unit, h = unit[many], h[many]
     order = np.argsort(unit, kind="stable")
     unit, h = unit[order], h[order]
@@ -407,20 +465,24 @@ def _of_bucket(table: pa.Table) -> pa.Table:
 
 
 def _read_pages():
+    numbers = _Numbers()
+
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         hosts = batch.column(3).to_pylist()
         read = [candidates(blocks(h.as_py())) for h in batch.column(2)]
         units = [
             int.from_bytes(hashlib.blake2b("\x1f".join((x, *t)).encode(), digest_size=8).digest(), "little", signed=True)
-            for x, (_, t) in zip(hosts, read)
+            for x, t in zip(hosts, read)
         ]
+        signed = [s or (None, None) for s in _signatures(numbers, hosts, read)]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0), batch.column(1), batch.column(3), pa.array(units, pa.int64()),
-                pa.array([k for k, _ in read], pa.bool_()),
-                pa.array([t for _, t in read], pa.list_(pa.string())),
+                pa.array([k for k, _ in signed], pa.list_(pa.int64())),
+                pa.array([x for _, x in signed], pa.binary()),
+                pa.array(read, pa.list_(pa.string())),
             ],
-            ["key", "url", "host", "unit", "told", "texts"],
+            ["key", "url", "host", "unit", "bands", "signature", "texts"],
         )
 
     return step
@@ -431,10 +493,10 @@ def _cut_pages(key: str):
         numbers = _Numbers()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            hosts, told, pages = (batch.column(k).to_pylist() for k in (2, 3, 4))
-            marks = [np.concatenate([_long(m) for m in x]) if x else None for x in batch.column(5).to_pylist()]
+            hosts, pages = (batch.column(k).to_pylist() for k in (2, 3))
+            marks = [np.concatenate([_long(m) for m in x]) if x else None for x in batch.column(4).to_pylist()]
             texts = []
-            for host, is_told, page, own in zip(hosts, told, pages, marks):
+            for host, page, own in zip(hosts, pages, marks):
                 covered = None
                 if own is not None:
                     _, first, h = _suffixes(numbers, [host], [page], RUN)
@@ -442,7 +504,7 @@ def _cut_pages(key: str):
                     size = sum(t.count(" ") + 1 for t in page)
                     step_at = np.bincount(at, minlength=size + 1) - np.bincount(at + RUN, minlength=size + 1)
                     covered = np.cumsum(step_at)[:size] > 0
-                texts.append(cut(is_told, page, covered))
+                texts.append(cut(page, covered))
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(texts, pa.string()),
@@ -461,14 +523,25 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     key_type = pages.schema[key].dataType.simpleString()
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     told = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), html, host.alias("host"))
-    schema = f"key {key_type}, url string, host string, unit long, told boolean, texts array<string>"
+    schema = f"key {key_type}, url string, host string, unit long, bands array<long>, signature binary, texts array<string>"
     read = stage(map_texts(told, ["key", "url", html, "host"], schema, lambda: _read_pages()), "candidates")
     size = F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t))
     volume = read.agg(F.sum(size)).first()[0] or 0
     buckets = min(_MAX_BUCKETS, 1 << (64 + volume // BUCKET_BYTES - 1).bit_length())
-    dealt = map_texts(
-        read, ["unit", "host", "texts"], "bucket long, units binary, local binary, hashes binary", _dealt(buckets)
+    bands = read.filter("bands IS NOT NULL").groupBy("unit").agg(
+        F.first("bands").alias("bands"), F.first("signature").alias("signature")
     )
+    bands = bands.select("unit", "signature", F.explode("bands").alias("band"))
+    near = bands.groupBy(F.pmod(F.xxhash64("band"), F.lit(buckets))).applyInArrow(_near, "u long, v long")
+    groups = stage(components(near), "groups").select(F.col("node").alias("unit"), F.col("component").alias("_group"))
+    if groups.count() * 16 <= _MAX_BROADCAST_BYTES:
+        groups = F.broadcast(groups)
+    grouped = read.select("unit", "host", "texts").join(groups, "unit", "left")
+    grouped = grouped.withColumn("group", F.coalesce("_group", "unit"))
+    dealt = map_texts(
+        grouped, ["unit", "host", "texts", "group"],
+        "bucket long, units binary, groups binary, local binary, hashes binary", _dealt(buckets),
+    )
     marks = stage(dealt.groupBy("bucket").applyInArrow(_of_bucket, "unit long, marks binary"), "marks")
     weight = marks.agg(F.sum(F.octet_length("marks") + 16)).first()[0] or 0
     marks = marks.groupBy("unit").agg(F.collect_list("marks").alias("marks"))
@@ -476,6 +549,6 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         marks = F.broadcast(marks)
     marked = read.join(marks, "unit", "left")
     return map_texts(
-        marked, ["key", "url", "host", "told", "texts", "marks"],
+        marked, ["key", "url", "host", "texts", "marks"],
         f"`{key}` {key_type}, url string, text string, n_chars long", _cut_pages(key),
     )

@@ -472,7 +472,8 @@ def test_main_text_marks_equal_the_plain_search():
     rng = np.random.default_rng(8)
     pages = [[" ".join(str(w) for w in rng.integers(0, 3, int(rng.integers(1, 90))))] for _ in range(12)]
     batch = pa.RecordBatch.from_arrays(
-        [pa.array(range(12), pa.int64()), pa.array(["h"] * 12), pa.array(pages)], ["unit", "host", "texts"]
+        [pa.array(range(12), pa.int64()), pa.array(["h"] * 12), pa.array(pages), pa.array(range(12), pa.int64())],
+        ["unit", "host", "texts", "group"],
     )
     found = defaultdict(set)
     tables = [pa.Table.from_batches([b]) for b in main_text._dealt(4)()(batch)]
@@ -488,3 +489,33 @@ def test_main_text_marks_equal_the_plain_search():
         for at, x in zip(first, h & np.uint64((1 << 48) - 1)):
             got[at : at + main_text.RUN] |= int(x) in found[k]
         assert np.array_equal(got, want)
+
+
+@pytest.mark.parametrize("element", ["article", "main", "div id=content"])
+def test_main_text_cuts_boilerplate_in_every_zone(spark, element):
+    words = np.random.default_rng(9)
+    notice = "please sign up today for the daily letter of this site"
+    rows = []
+    for i in range(12):
+        own = [" ".join(f"w{k}" for k in words.integers(0, 50_000, 40)) + "." for _ in range(2)]
+        html = f"<p>{own[0]}</p><div>{notice}</div><p>{own[1]} Read all of it in our printed paper.</p>"
+        rows.append((i, html, " ".join(own)))
+    # Copies of an article, equal and with a few other words, are no boilerplate.
+    story = [f"s{k}" for k in range(90)]
+    for i in range(12, 36):
+        copy = list(story)
+        for k in words.integers(0, 90, i % 3):
+            copy[k] = f"other{i}"
+        rows.append((i, f"<p>{' '.join(copy)}</p>", " ".join(copy)))
+    pages = spark.createDataFrame(
+        [(i, f"http://h.example/{i}", f"<{element}>{h}</{element.split()[0]}>") for i, h, _ in rows],
+        "page_id long, url string, html string",
+    )
+    got = {r.page_id: r.text for r in main_text.extract(pages).collect()}
+    assert got == {i: text for i, _, text in rows}
+
+
+def test_main_text_keeps_turns_of_phrase():
+    covered = np.array([False] * 3 + [True] * 7 + [False] * 6)
+    text = "a b c " + "d " * 7 + "e f g h i j."
+    assert main_text.cut([text], covered) == text
