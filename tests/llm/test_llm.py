@@ -519,3 +519,35 @@ def test_main_text_keeps_turns_of_phrase():
     covered = np.array([False] * 3 + [True] * 7 + [False] * 6)
     text = "a b c " + "d " * 7 + "e f g h i j."
     assert main_text.cut([text], covered) == text
+
+
+class _NarrowGraph:
+    """Finds links of large groups with any beam, other links with a beam of 96 only."""
+
+    def __init__(self, x):
+        self.x, self.widths = x, []
+
+    def near_pairs(self, q, width, floor):
+        self.widths.append(width)
+        out = q @ self.x.T >= floor
+        if width < 96:
+            out[out.sum(1) < 20] = False
+        return out
+
+
+def test_hnsw_audit_sees_rare_links():
+    rng = np.random.default_rng(12)
+    unit = lambda v: (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    lone = unit(rng.normal(size=(2500, 48)))
+    # Three links between two shards.
+    graph = _NarrowGraph(lone[:2000])
+    q = np.concatenate((lone[2000:], unit(lone[:3] + 0.01 * rng.normal(size=(3, 48)))))
+    assert (hnsw_dedup._audited(graph, q, 0.93) == (q @ graph.x.T >= 0.93)).all()
+    # A large group beside isolated pairs in one shard: the beam is widened.
+    group = unit(lone[:1] + 0.01 * rng.normal(size=(900, 48)))
+    x = np.concatenate((group, lone[1:1001], unit(lone[1:1001] + 0.01 * rng.normal(size=(1000, 48)))))
+    graph = _NarrowGraph(x)
+    found = hnsw_dedup._audited(graph, x, 0.93, same=True)
+    want = x @ x.T >= 0.93
+    np.fill_diagonal(found, True)
+    assert (found == want).all() and max(graph.widths) >= 96
