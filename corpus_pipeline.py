@@ -29,8 +29,11 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample in which sources, languages and topics have their target weights."""
-    return mixing.mix(docs).select(*docs.columns)
+    """A sample in which sources, languages and topics have their target shares of the tokens.
+
+    Documents of cells that are too small for their share are repeated.
+    """
+    return mixing.mix(docs, tolerance=mixing.TOLERANCE, repeat=True).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ output column are replaced.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -28,6 +30,8 @@ from linkloom.llm.common import words_of
 from linkloom.scratch import stage
 
 ROUNDS = 10
+TOLERANCE = 1e-4
+_MOST_PASSES = 100
 KEEP = 0.8
 TEMPER = {"source": 0.5, "language": 0.7, "topic": 1.0}
 SEED = "mix-1"
@@ -87,6 +91,10 @@ def rake(cells: DataFrame, rounds: int = ROUNDS, given: dict[str, dict[str, floa
     for name in DIMENSIONS:
         cells = _targets(cells, name, TEMPER[name], (given or {}).get(name))
     out = cells.withColumn("_share", F.try_divide("_tokens", F.sum("_tokens").over(W.partitionBy())))
+    return _raked(out, rounds)
+
+
+def _raked(out: DataFrame, rounds: int) -> DataFrame:
     for _ in range(rounds):
         for name in DIMENSIONS:
             now = F.sum("_share").over(W.partitionBy(f"_{name}"))
@@ -96,6 +104,37 @@ def rake(cells: DataFrame, rounds: int = ROUNDS, given: dict[str, dict[str, floa
     return out
 
 
+def marginal_error(raked: DataFrame) -> float:
+    """The largest distance of a marginal share from its target; 0 without cells."""
+    most = 0.0
+    for name in DIMENSIONS:
+        by = raked.groupBy(f"_{name}").agg(F.sum("_share").alias("is"), F.sum("_tokens").alias("n"), F.first(f"_to_{name}").alias("to"))
+        most = max(most, by.filter("n > 0").agg(F.max(F.abs(F.col("is") - F.col("to")))).first()[0] or 0.0)
+    return most
+
+
+def rake_until(
+    cells: DataFrame,
+    tolerance: float,
+    rounds: int = ROUNDS,
+    given: dict[str, dict[str, float]] | None = None,
+    few: bool = True,
+) -> DataFrame:
+    """As ``rake``, in passes of ``rounds`` until the largest marginal error is within ``tolerance``."""
+    out = stage(rake(cells, rounds, given), "raked")
+    error = marginal_error(out)
+    for _ in range(_MOST_PASSES):
+        if error <= tolerance:
+            return out
+        out = stage(_raked(out.coalesce(1) if few else out, rounds), "raked")
+        before, error = error, marginal_error(out)
+        if error > 0.999 * before:
+            break
+    if error > tolerance:
+        warnings.warn(f"targets cannot all be met: the largest marginal error is {error:.6f}", stacklevel=2)
+    return out
+
+
 def calibrate(raked: DataFrame, keep: float = KEEP) -> DataFrame:
     """Adds ``_probability`` and ``_weight``: cells fill up in the order of tokens over share."""
     live = (F.col("_tokens") > 0) & (F.col("_share") > 0)
@@ -129,6 +168,8 @@ def mix(
     rounds: int = ROUNDS,
     given: dict[str, dict[str, float]] | None = None,
     with_text: bool = True,
+    tolerance: float | None = None,
+    repeat: bool = False,
 ) -> DataFrame:
     """The sampled rows of ``docs`` with cell, tokens, probability and weight.
 
@@ -139,11 +180,20 @@ def mix(
     cells = stage(cells, "cells")
     few = cells.count() <= _FEW_CELLS
     # In one partition the many small windows need no exchange; more cells are spread.
-    fitted = stage(calibrate(rake(cells.coalesce(1) if few else cells, rounds, given), keep), "fitted")
+    cells = cells.coalesce(1) if few else cells
+    raked = rake(cells, rounds, given) if tolerance is None else rake_until(cells, tolerance, rounds, given, few)
+    fitted = stage(calibrate(raked.coalesce(1) if few else raked, keep), "fitted")
     fitted = fitted.select("_source", "_language", "_topic", "_probability", "_weight")
     carried = [c for c in docs.columns if c not in OUTPUT and (with_text or c != text)]
     joined = docs.select(*carried, *told).join(F.broadcast(fitted) if few else fitted, ["_source", "_language", "_topic"])
-    return joined.filter(F.col("_draw") < F.col("_probability")).select(
+    joined = joined.filter(F.col("_draw") < F.col("_probability"))
+    if repeat:
+        # A weight above 1 comes with the probability 1, so the draw is still free.
+        whole = F.floor("_weight")
+        copies = whole + F.when(F.col("_draw") < F.col("_weight") - whole, 1).otherwise(0)
+        copies = F.when(F.col("_probability") < 1, F.lit(1)).otherwise(F.greatest(copies, F.lit(1)))
+        joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).withColumn("_weight", F.lit(1.0))
+    return joined.select(
         *carried,
         F.col("_language").alias("language"),
         F.col("_topic").alias("topic"),
