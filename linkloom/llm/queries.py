@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm import (
+    hard_negatives,
     hnsw_dedup,
+    language_id,
     main_text,
     mixing,
     ngram_join,
@@ -16,6 +18,7 @@ from linkloom.llm import (
     quality_cnn,
     quality_rules,
     sharding,
+    spelling,
     tokens,
 )
 from linkloom.llm.common import table
@@ -74,6 +77,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_mixing": op2_mixing,
@@ -85,5 +100,12 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op11_language_id": op11_language_id,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling_variants": op13_spelling_variants,
+}
+SQL: dict[str, str] = {
+    "op2_mixing": mixing.sql(),
+    "op10_quality_rules": quality_rules.sql(),
+    "op12_hard_negatives": hard_negatives.sql(),
 }
-SQL: dict[str, str] = {"op2_mixing": mixing.sql(), "op10_quality_rules": quality_rules.sql()}
