@@ -31,10 +31,10 @@ def broadcast_if_small(side: DataFrame, key: str) -> DataFrame:
 def near(history: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows of a large table that can match ``keys``, found without shuffling it.
 
-    With too many keys to broadcast the whole table is returned and the caller's own
-    join shuffles it, so what follows gives the same result either way.
+    With too many keys to broadcast the semi-join shuffles both sides by the key instead, so
+    rows of other keys are still dropped before anything after it.
     """
     wanted = keys.select(key).distinct()
     if not is_small(wanted, key):
-        return history
+        return history.join(wanted, key, "left_semi")
     return history.join(F.broadcast(wanted), key, "left_semi")

@@ -17,7 +17,7 @@ from linkloom.scratch import scratch_path, stage
 from linkloom.sources import corpus
 from linkloom.sources.corpus import PROFILE, naive, table
 from linkloom.sources.tables import CrawlTables, empty_tables
-from linkloom.streaming import states, store
+from linkloom.streaming import replay, states, store
 
 BATCH_SIZE = 50
 FIRST_BATCH = 10
@@ -404,31 +404,37 @@ def applied_attempts(spark, folder):
 # Streams
 
 
-def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    schema = table(spark, folder, name).schema
-    # A stream takes a directory or a pattern; the pattern also fits a single file.
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
-
-
 def stream_ingest(spark, folder):
-    """Pages streamed into a store; the stored pages."""
-    root = scratch_path(spark, "store")
-    results = corpus.page_results(_pages(spark, folder))
-    store.create_store(spark, root, _queued(results))
-    source = _stream(spark, folder, "pages")
+    """Pages streamed into a store over several micro-batches, one stream restart per slice of
+    fetch time; the stored pages."""
+    pages = _pages(spark, folder)
+    root, source = scratch_path(spark, "store"), scratch_path(spark, "arriving-pages")
     checkpoint = scratch_path(spark, "checkpoint")
-    arriving = corpus.page_results(corpus.spread_like(source, _pages(spark, folder)))
-    store.start_ingest(arriving, root, checkpoint, PROFILE).awaitTermination()
-    pages = store.read_store(spark, root).pages
-    return pages.withColumn("fetched_at", naive("fetched_at"))
+    store.create_store(spark, root, _queued(corpus.page_results(pages)))
+
+    def run() -> None:
+        arriving = spark.readStream.schema(pages.schema).parquet(source)
+        store.start_ingest(corpus.page_results(arriving), root, checkpoint, PROFILE).awaitTermination()
+
+    replay.replay(pages, F.col("page_id"), source, run)
+    stored = store.read_store(spark, root).pages
+    return stored.withColumn("fetched_at", naive("fetched_at"))
 
 
 def stream_frontier_state(spark, folder):
-    """Retry states kept by a stream of attempts; the latest state of each URL."""
-    root, checkpoint = scratch_path(spark, "states"), scratch_path(spark, "checkpoint")
-    source = _stream(spark, folder, "events")
-    attempts = corpus.event_attempts(source, _event_key())
-    states.start_states(attempts, root, checkpoint, PROFILE, "event_id").awaitTermination()
+    """Retry states kept in the stream's state store over several micro-batches (one restart per
+    slice of event time); the latest state of each URL."""
+    events = table(spark, folder, "events")
+    root, source = scratch_path(spark, "states"), scratch_path(spark, "arriving-events")
+    checkpoint = scratch_path(spark, "checkpoint")
+
+    def run() -> None:
+        arriving = spark.readStream.schema(events.schema).parquet(source)
+        attempts = corpus.event_attempts(arriving, _event_key())
+        changes = states.stream_states(attempts, PROFILE, "event_id")
+        states.write_states(changes, root, checkpoint).awaitTermination()
+
+    replay.replay(events, F.unix_micros(F.col("ts").cast("timestamp")), source, run)
     return _state_view(states.read_states(spark, root))
 
 
