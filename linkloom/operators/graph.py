@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from linkloom.operators.dedup import crawlable_target, first_contents
 from linkloom.operators.html import explode_links
-from linkloom.operators.lookup import broadcast_if_small
+from linkloom.operators.lookup import broadcast_if_small, is_small
+from linkloom.operators.skew import hot_keys, salted_join
 from linkloom.profile import SiteProfile
 from linkloom.scratch import stage
 
@@ -50,8 +51,9 @@ def breadth_first(
     plan short and survives lost executors. ``edges`` are read once per round: stage
     them when they are costly.
     Offers are reduced to one row per target before the visited lookup, so a target
-    that very many pages link to costs one row per task; a source with very many
-    links is split by the adaptive skew join.
+    that very many pages link to costs one row per task. A level too large to broadcast meets
+    the edges in a salted join: the links of a source with very many of them are dealt over
+    several tasks by their target, and that source's level row is repeated for each.
     """
     level = stage(
         seeds.select(
@@ -61,6 +63,7 @@ def breadth_first(
     )
     visited, seen_hashes = level, None
     links = edges.filter(F.col("from_url") != F.col("to_url"))
+    hot = None
     for depth in range(profile.max_depth):
         expanding = level
         if pages is not None:
@@ -71,9 +74,13 @@ def breadth_first(
             seen_hashes = hashes if seen_hashes is None else seen_hashes.unionByName(hashes)
             expanding = kept
         sources = expanding.select(F.col("url").alias("from_url"))
-        offers = links.join(broadcast_if_small(sources, "from_url"), "from_url").select(
-            F.col("to_url").alias("url"), "from_url"
-        )
+        sources = stage(sources, "sources")
+        if is_small(sources, "from_url"):
+            joined = links.join(F.broadcast(sources), "from_url")
+        else:
+            hot = hot if hot is not None else stage(hot_keys(links, "from_url"), "hot-sources")
+            joined = salted_join(links, sources, "from_url", ["to_url"], hot)
+        offers = joined.select(F.col("to_url").alias("url"), "from_url")
         wanted = crawlable_target(profile) if crawlable_only else F.lit(True).alias("_crawlable")
         reached = (
             offers.groupBy("url")
@@ -92,21 +99,46 @@ def breadth_first(
 def discovery_paths(frontier: DataFrame, profile: SiteProfile) -> DataFrame:
     """Add ``path``: the chain of URLs from a seed down to each frontier row.
 
-    A parent is always one level above its child, so level d is joined with the paths
-    of level d - 1 only. A parent with very many children is split by the adaptive
-    skew join.
+    Pointer doubling: each row holds the part of its path below an ancestor still to resolve
+    (``top``); a round joins every open row with its top's row, prepends that row's part and
+    takes over its top, so the resolved part doubles and depth d needs about log2(d) rounds.
+    A parent must stand one level above its child, else the child and all below it are left
+    out. Parents with very many open children are split by a salted join; each round is written
+    to the shared scratch folder.
     """
-    rows = frontier.select("url", "depth", "discovered_from")
-    level = rows.filter("depth = 0").withColumn("path", F.array("url"))
-    found = level
-    for depth in range(1, profile.max_depth + 1):
-        parents = level.select(F.col("url").alias("discovered_from"), F.col("path").alias("above"))
-        level = (
-            rows.filter(F.col("depth") == depth)
-            .join(parents, "discovered_from")
-            .select(
-                "url", "depth", "discovered_from", F.array_append("above", F.col("url")).alias("path")
-            )
+    rows = frontier.select("url", "depth", "discovered_from").filter(
+        (F.col("depth") <= profile.max_depth) & ((F.col("depth") == 0) | F.col("discovered_from").isNotNull())
+    )
+    now = stage(
+        rows.select(
+            "url",
+            "depth",
+            "discovered_from",
+            F.when(F.col("depth") > 0, F.col("discovered_from")).alias("top"),
+            (F.col("depth") - 1).alias("top_depth"),
+            F.array("url").alias("path"),
+        ),
+        "paths",
+    )
+    hot = None
+    while not now.filter(F.col("top").isNotNull()).isEmpty():
+        open_rows = now.filter(F.col("top").isNotNull())
+        hot = hot if hot is not None else stage(hot_keys(open_rows, "top"), "hot-parents")
+        above = now.select(
+            F.col("url").alias("top"),
+            F.col("depth").alias("_depth"),
+            F.col("top").alias("_up"),
+            F.col("top_depth").alias("_up_depth"),
+            F.col("path").alias("_above"),
+        )
+        joined = salted_join(open_rows, above, "top", ["url"], hot).filter(F.col("top_depth") == F.col("_depth"))
+        moved = joined.select(
+            "url",
+            "depth",
+            "discovered_from",
+            F.col("_up").alias("top"),
+            F.col("_up_depth").alias("top_depth"),
+            F.concat("_above", "path").alias("path"),
         )
-        found = found.unionByName(level)
-    return found
+        now = stage(now.filter(F.col("top").isNull()).unionByName(moved), "paths")
+    return now.select("url", "depth", "discovered_from", "path")

@@ -58,3 +58,37 @@ def test_paths_follow_parents(spark, profile):
     df = spark.createDataFrame(rows, "url string, depth int, discovered_from string")
     got = {r.url: r.path for r in graph.discovery_paths(df, profile).collect()}
     assert got == {"s": ["s"], "a": ["s", "a"], "b": ["s", "a", "b"]}
+
+
+def test_hot_source_and_hot_parent_are_split(spark, profile, monkeypatch):
+    """Above the broadcast bound a source with many links is dealt over several salts, and
+    paths from pointer doubling equal level-by-level paths."""
+    from dataclasses import replace
+
+    from linkloom.operators import graph, lookup, skew
+
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_IDS", 0)
+    monkeypatch.setattr(skew, "HOT_ROWS", 50)
+    deep = replace(profile, max_depth=5)
+    edges = [("s", f"a{i}") for i in range(400)] + [(f"a{i}", f"b{i % 7}") for i in range(400)]
+    edges += [("b0", "c0"), ("c0", "d0"), ("d0", "e0"), ("e0", "f0"), ("f0", "g0")]
+    edge_df = spark.createDataFrame(edges, "from_url string, to_url string")
+    seeds = spark.createDataFrame([("s",)], "url string")
+    levels = graph.breadth_first(seeds, edge_df, deep, crawlable_only=False)
+    got = {r.url: (r.depth, r.discovered_from) for r in levels.collect()}
+    want = {"s": (0, None), **{f"a{i}": (1, "s") for i in range(400)}}
+    want |= {f"b{k}": (2, min((f"a{i}" for i in range(400) if i % 7 == k))) for k in range(7)}
+    want |= {"c0": (3, "b0"), "d0": (4, "c0"), "e0": (5, "d0")}
+    assert got == want
+    paths = {r.url: r.path for r in graph.discovery_paths(levels, deep).collect()}
+    for url, (depth, parent) in want.items():
+        chain = [url]
+        while want[chain[0]][1] is not None:
+            chain.insert(0, want[chain[0]][1])
+        assert paths[url] == chain and len(chain) == depth + 1
+    plan = graph.salted_join(
+        edge_df, seeds.withColumnRenamed("url", "from_url"), "from_url", ["to_url"],
+        skew.hot_keys(edge_df, "from_url"),
+    )._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
