@@ -44,6 +44,8 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: Letters of the Basic Multilingual Plane as a lookup table; other planes go through ``re``.
 _BMP_LETTER = np.array([chr(c).isalpha() for c in range(0x10000)], dtype=bool)
 _SPACE = np.uint32(32)
+#: Cells of the (pairs x letters) count matrix built at once.
+_CELLS = 1 << 20
 
 
 class Profiler:
@@ -76,16 +78,29 @@ class Profiler:
         points = self._normal(text.lower())
         if points is None:
             return None
-        self._letters(np.unique(points))
-        index = np.searchsorted(self.points, points).astype(np.int64)
-        k = len(self.points)
-        keys = (index[:-2] * k + index[1:-1]) * k + index[2:]
-        grams, counts = np.unique(keys, return_counts=True)
-        a, b, c = grams // (k * k), (grams // k) % k, grams % k
+        present = np.unique(points)
+        self._letters(present)
+        rows = np.searchsorted(self.points, present)  # rows of the letter tables
+        local = np.searchsorted(present, points).astype(np.int64)
+        k = len(present)
+        grams, counts = np.unique((local[:-2] * k + local[1:-1]) * k + local[2:], return_counts=True)
+        # Bundle by the first two letters: sum_ab rho2(A) rho(B) (sum_c n_abc C). The inner sums
+        # are one matrix product (pairs x letters) @ (letters x dimensions).
+        pair, third = grams // k, grams % k
+        pairs, starts = np.unique(pair, return_index=True)
+        ends = np.append(starts[1:], len(grams))
+        plain = self.plain[rows]
         out = np.zeros(self.dimensions, dtype=np.float64)
-        for lo in range(0, len(grams), 4096):
-            bound = self.twice[a[lo : lo + 4096]] * self.once[b[lo : lo + 4096]] * self.plain[c[lo : lo + 4096]]
-            out += counts[lo : lo + 4096].astype(np.float32) @ bound
+        step = max(1, _CELLS // k)
+        for lo in range(0, len(pairs), step):
+            hi = min(lo + step, len(pairs))
+            first, last = starts[lo], ends[hi - 1]
+            counts_by_pair = np.zeros((hi - lo, k), dtype=np.float32)
+            owner = np.repeat(np.arange(hi - lo), ends[lo:hi] - starts[lo:hi])
+            counts_by_pair[owner, third[first:last]] = counts[first:last]
+            inner = counts_by_pair @ plain
+            a, b = rows[pairs[lo:hi] // k], rows[pairs[lo:hi] % k]
+            out += (self.twice[a] * self.once[b] * inner).sum(axis=0, dtype=np.float64)
         return out
 
     @staticmethod
