@@ -12,6 +12,7 @@ from linkloom import schemas
 from linkloom.functions import text, urls
 from linkloom.operators.ordered import previous_value, running_total
 from linkloom.profile import SiteProfile
+from linkloom.scratch import stage
 
 # Up to this many rows a batch is merged in one task and broadcast.
 SMALL_BATCH = 100_000
@@ -45,7 +46,9 @@ def politeness_slots(candidates: DataFrame, profile: SiteProfile) -> DataFrame:
     """Earliest fetch offset in seconds of each candidate (url, host, priority, depth).
 
     Rows of one host are spaced by the host's gap. Rows without a host need no pause.
+    The candidates are written once, so both parts read them instead of computing them again.
     """
+    candidates = stage(candidates, "candidates")
     hosted = candidates.filter(F.col("host").isNotNull())
     slots = running_total(hosted, ["host"], ["priority", "depth", "url"], F.lit(1), "slot")
     spaced = slots.withColumn(

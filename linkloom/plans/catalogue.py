@@ -17,6 +17,7 @@ from linkloom.scratch import scratch_path, stage
 from linkloom.sources import corpus
 from linkloom.sources.corpus import PROFILE, naive, table
 from linkloom.sources.tables import CrawlTables, empty_tables
+from linkloom.sources.tables import seed_urls as generated_seeds
 from linkloom.streaming import replay, states, store
 
 BATCH_SIZE = 50
@@ -56,6 +57,13 @@ def seed_urls(spark, folder):
     return hubs.select(url.alias("url")).distinct()
 
 
+def list_seeds(spark, folder):
+    """The profile's list pages a crawl starts from, canonical, and whether the corpus holds each."""
+    seeds = generated_seeds(spark, PROFILE).select(urls.normalize_url(F.col("url"), PROFILE).alias("url"))
+    held = _canonical(spark, folder).select(F.col("canonical").alias("url"), F.lit(True).alias("held")).distinct()
+    return seeds.distinct().join(held, "url", "left").select("url", F.coalesce("held", F.lit(False)).alias("held"))
+
+
 def normalize_url(spark, folder):
     return _canonical(spark, folder)
 
@@ -457,6 +465,7 @@ def crawl_report(spark, folder):
 QUERIES = {
     "raw_pages": raw_pages,
     "seed_urls": seed_urls,
+    "list_seeds": list_seeds,
     "normalize_url": normalize_url,
     "url_parts": url_parts,
     "url_internal": url_internal,

@@ -260,6 +260,11 @@ SQL = {
                {_START} + to_seconds(page_id) AS fetched_at, sha256(html) AS body_hash
         FROM pages""",
     "seed_urls": f"WITH {_PAGES} SELECT DISTINCT url FROM p WHERE url LIKE '%/de/%'",
+    "list_seeds": f"""WITH seeds AS (
+        SELECT DISTINCT 'https://example.com/ru/hubs/machine_learning/articles/page' || i || '/' AS url
+        FROM range(21, 100) t(i)),
+      held AS (SELECT DISTINCT {_canonical('url')} AS url FROM pages)
+      SELECT s.url, h.url IS NOT NULL AS held FROM seeds s LEFT JOIN held h ON s.url = h.url""",
     "normalize_url": f"SELECT page_id, url, {_canonical('url')} AS canonical FROM pages",
     "url_parts": rf"""WITH {_PAGES}
         SELECT page_id, regexp_extract(url, '^([a-z]+):', 1) AS scheme, {_host("url")} AS host,
