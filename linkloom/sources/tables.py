@@ -66,18 +66,66 @@ def seed_urls(spark: SparkSession, profile: SiteProfile) -> DataFrame:
     return pages.select(F.concat(F.lit(head), F.col("id").cast("string"), F.lit(tail)).alias("url"))
 
 
+#: Partition column of the tables that only grow: the batch that added the rows.
+BATCH = "batch_id"
+START_BATCH = -1
+
+
 def write_tables(tables: CrawlTables, root: str) -> None:
     """A new snapshot of all five tables under ``root``, which must not exist yet.
 
-    The frontier is split by status, so picking the next batch reads queued rows only.
+    The frontier is split by status, so picking the next batch reads queued rows only, and an
+    update rewrites only the statuses it changes. The other tables are split by the batch that
+    added their rows (``START_BATCH`` here), so an update adds a folder of its own.
     """
     for name, df in tables.items():
-        writer = df.write.mode("errorifexists")
         if name == "frontier":
-            writer = writer.partitionBy("status")
+            writer = df.write.mode("errorifexists").partitionBy("status")
+        else:
+            writer = df.withColumn(BATCH, F.lit(START_BATCH)).write.mode("errorifexists").partitionBy(BATCH)
         writer.parquet(f"{root}/{name}")
 
 
+def update_tables(spark: SparkSession, root: str, added: CrawlTables, batch_id: int) -> None:
+    """Apply one batch's ``added`` rows (as ``apply_results`` gives them) to the snapshot in place.
+
+    Growing tables get the folder ``batch_id=<batch_id>``, overwritten if it exists, so a batch
+    that is run again after a failure writes the same rows once. Frontier rows of ``added``
+    replace rows of the same URL: only the status folders that lose or gain a row are rewritten
+    (dynamic partition overwrite), from a copy staged first, since a job cannot overwrite what it
+    reads. A status folder left without rows is deleted. Running the same batch again gives the
+    same snapshot.
+    """
+    from linkloom.scratch import stage
+
+    dynamic = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    before = {k: spark.conf.get(k, None) for k in dynamic}
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for name, df in added.items():
+            if name != "frontier":
+                rows = df.select(*schemas.TABLES[name].fieldNames()).withColumn(BATCH, F.lit(batch_id))
+                rows.write.mode("overwrite").partitionBy(BATCH).parquet(f"{root}/{name}")
+        changed = stage(added.frontier.select(*schemas.FRONTIER.fieldNames()), "changed-frontier")
+        current = spark.read.schema(schemas.FRONTIER).parquet(f"{root}/frontier")
+        moved_from = current.join(changed.select("url"), "url", "left_semi").select("status")
+        statuses = [r.status for r in moved_from.union(changed.select("status")).distinct().collect()]
+        kept = current.filter(F.col("status").isin(statuses)).join(changed.select("url"), "url", "left_anti")
+        rewritten = stage(kept.unionByName(changed), "frontier-parts")
+        rewritten.write.mode("overwrite").partitionBy("status").parquet(f"{root}/frontier")
+        filled = {r.status for r in rewritten.select("status").distinct().collect()}
+        for status in set(statuses) - filled:
+            _delete(spark, f"{root}/frontier/status={status}")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_tables(spark: SparkSession, root: str) -> CrawlTables:
     frames = {}
     for name, schema in schemas.TABLES.items():
