@@ -16,7 +16,7 @@ from linkloom.plans import report
 from linkloom.scratch import scratch_path, stage
 from linkloom.sources import corpus
 from linkloom.sources.corpus import PROFILE, naive, table
-from linkloom.sources.tables import CrawlTables, empty_tables
+from linkloom.sources.tables import CrawlTables, empty_tables, read_tables, update_tables, write_tables
 from linkloom.sources.tables import seed_urls as generated_seeds
 from linkloom.streaming import replay, states, store
 
@@ -392,6 +392,24 @@ def _applied_pages(spark, folder) -> CrawlTables:
     return apply_results(results, _queued(results), PROFILE).added
 
 
+def snapshot_frontier(spark, folder):
+    """A stored snapshot of the start tables, updated in place by the batch of all pages (only
+    the changed parts rewritten); its frontier read back."""
+    results = corpus.page_results(_pages(spark, folder))
+    failed = urls.normalize_url(F.col("url"), PROFILE).contains("7")
+    content = ["http_status", "content_type", "content_length", "html", "is_html"]
+    results = results.withColumns(
+        {"error": F.when(failed, "network failure"), **{c: F.when(~failed, F.col(c)) for c in content}}
+    )
+    root = scratch_path(spark, "snapshot")
+    start = _queued(results)
+    write_tables(start, root)
+    snapshot = read_tables(spark, root)
+    added = apply_results(results, snapshot, PROFILE).added
+    update_tables(spark, root, added, 0)
+    return _frontier_view(read_tables(spark, root).frontier)
+
+
 def applied_links(spark, folder):
     return _applied_pages(spark, folder).links.select(*_LINK_COLUMNS)
 
@@ -466,6 +484,7 @@ QUERIES = {
     "raw_pages": raw_pages,
     "seed_urls": seed_urls,
     "list_seeds": list_seeds,
+    "snapshot_frontier": snapshot_frontier,
     "normalize_url": normalize_url,
     "url_parts": url_parts,
     "url_internal": url_internal,

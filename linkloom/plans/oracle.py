@@ -521,6 +521,9 @@ SQL["applied_frontier"] = f"""{_SOME}, {_FETCHES}, {_states("fetches")},
     SELECT url, status, depth, priority, discovered_from, seen_at, 0, NULL, seen_at, seen_at
     FROM t_frontier WHERE depth > 0"""
 
+# Every seed is fetched in the batch, so the updated snapshot holds the batch's frontier rows.
+SQL["snapshot_frontier"] = SQL["applied_frontier"]
+
 # A stream gives what the batch gives.
 SQL["stream_ingest"] = SQL["page_rows"]
 SQL["stream_frontier_state"] = SQL["frontier_state"]
