@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from linkloom import schemas
 from linkloom.functions import urls
+from linkloom.operators.lookup import near
 from linkloom.profile import SiteProfile
+from linkloom.scratch import stage
 
 
 def url_rows(url: Column, discovered_at: Column, profile: SiteProfile) -> list[Column]:
@@ -25,8 +27,9 @@ def url_rows(url: Column, discovered_at: Column, profile: SiteProfile) -> list[C
 def new_urls(found: DataFrame, known: DataFrame, profile: SiteProfile) -> DataFrame:
     """Rows of the urls table for canonical URLs in ``found`` (url, discovered_at) that
     ``known`` does not have yet. Repeats are combined before the shuffle."""
-    first_seen = found.groupBy("url").agg(F.min("discovered_at").alias("discovered_at"))
-    unseen = first_seen.join(known.select("url"), "url", "left_anti")
+    first_seen = stage(found.groupBy("url").agg(F.min("discovered_at").alias("discovered_at")), "found")
+    # Only known URLs that can match are shuffled into the anti-join (lookup.near).
+    unseen = first_seen.join(near(known.select("url"), first_seen, "url"), "url", "left_anti")
     return unseen.select(*url_rows(F.col("url"), F.col("discovered_at"), profile))
 
 
@@ -135,13 +138,15 @@ def expand_frontier(offers: DataFrame, frontier: DataFrame, profile: SiteProfile
     target are combined before the shuffle.
     """
     first = F.min(F.struct("parent_depth", "discovered_from", "discovered_at"))
-    taken = (
+    offered = stage(
         offers.filter(F.col("parent_depth") < profile.max_depth)
         .groupBy("url")
         .agg(first.alias("first"), crawlable_target(profile))
-        .filter("_crawlable")
-        .join(frontier.select("url"), "url", "left_anti")
+        .filter("_crawlable"),
+        "offered",
     )
+    # Only frontier URLs that can match are shuffled into the anti-join (lookup.near).
+    taken = offered.join(near(frontier.select("url"), offered, "url"), "url", "left_anti")
     return taken.select(
         *frontier_rows(
             "url",

@@ -31,10 +31,15 @@ def broadcast_if_small(side: DataFrame, key: str) -> DataFrame:
 def near(history: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows of a large table that can match ``keys``, found without shuffling it.
 
-    With too many keys to broadcast the semi-join shuffles both sides by the key instead, so
-    rows of other keys are still dropped before anything after it.
+    Keys small enough are broadcast as they are. Above that bound their 64-bit hashes (8 bytes
+    a key, up to ``MAX_BROADCAST_IDS``) are broadcast instead: a prefilter that drops almost all
+    rows of other keys before the exact semi-join shuffles what is left. Beyond that too the
+    semi-join shuffles both sides, so rows of other keys are still dropped before anything after it.
     """
     wanted = keys.select(key).distinct()
-    if not is_small(wanted, key):
-        return history.join(wanted, key, "left_semi")
-    return history.join(F.broadcast(wanted), key, "left_semi")
+    if is_small(wanted, key):
+        return history.join(F.broadcast(wanted), key, "left_semi")
+    hashes = wanted.select(F.xxhash64(key).alias("_h")).distinct()
+    if hashes.count() <= MAX_BROADCAST_IDS:
+        history = history.join(F.broadcast(hashes), F.xxhash64(history[key]) == hashes["_h"], "left_semi")
+    return history.join(wanted, key, "left_semi")

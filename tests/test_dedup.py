@@ -111,3 +111,25 @@ def test_frontier_admission(spark, profile):
 def test_rejected_urls(spark):
     df = spark.createDataFrame([("xmpp:a@b/",), ("http://h/",)], "url string")
     assert [tuple(r) for r in dedup.rejected_urls(df).collect()] == [("xmpp:a@b/", "unsupported scheme")]
+
+
+def test_anti_joins_prefilter_known_urls_above_the_bound(spark, profile, monkeypatch):
+    """Above the broadcast bound of strings, 64-bit hashes of the candidates are broadcast and
+    only known URLs that can match reach the anti-join; results are unchanged."""
+    from pyspark.sql import functions as F
+
+    from linkloom.operators import dedup, lookup
+
+    found = spark.createDataFrame(
+        [(f"https://portal.test/a/{k}/", None) for k in range(60)], "url string, discovered_at timestamp"
+    ).withColumn("discovered_at", F.current_timestamp())
+    known = spark.createDataFrame([(f"https://portal.test/a/{k}/",) for k in range(0, 600, 3)], "url string")
+    want = {r.url for r in dedup.new_urls(found, known, profile).collect()}
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", 0)
+    near = lookup.near(known, found, "url")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan and "BroadcastHashJoin" in plan
+    assert {r.url for r in near.collect()} == {f"https://portal.test/a/{k}/" for k in range(0, 60, 3)}
+    assert {r.url for r in dedup.new_urls(found, known, profile).collect()} == want
+    assert len(want) == 40
