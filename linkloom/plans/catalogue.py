@@ -430,23 +430,33 @@ def applied_attempts(spark, folder):
 # Streams
 
 
-def stream_ingest(spark, folder):
-    """Pages streamed into a store over several micro-batches, one stream restart per slice of
-    fetch time; the stored pages."""
+def _streamed_store(spark: SparkSession, folder: str) -> str:
+    """A store that pages were streamed into over several micro-batches, one stream restart per
+    slice of fetch time; its folder."""
     pages = _pages(spark, folder)
     root, source = scratch_path(spark, "store"), scratch_path(spark, "arriving-pages")
     checkpoint = scratch_path(spark, "checkpoint")
-    store.create_store(spark, root, _queued(corpus.page_results(pages)))
+    store.create_store(spark, root, _queued(corpus.page_results(pages)), PROFILE)
 
     def run() -> None:
         arriving = spark.readStream.schema(pages.schema).parquet(source)
         store.start_ingest(corpus.page_results(arriving), root, checkpoint, PROFILE).awaitTermination()
 
     replay.replay(pages, F.col("page_id"), source, run)
-    stored = store.read_store(spark, root).pages
+    return root
+
+
+def stream_ingest(spark, folder):
+    """Pages streamed into a store over several micro-batches; the stored pages."""
+    stored = store.read_store(spark, _streamed_store(spark, folder)).pages
     return stored.withColumn("fetched_at", naive("fetched_at"))
 
 
+def stream_report(spark, folder):
+    """The link report of a stream, summed from the counts each micro-batch wrote."""
+    return store.read_report(spark, _streamed_store(spark, folder))
+
+
 def stream_frontier_state(spark, folder):
     """Retry states kept in the stream's state store over several micro-batches (one restart per
     slice of event time); the latest state of each URL."""
@@ -536,4 +546,5 @@ QUERIES = {
     "depth_status": _report(report.depth_status),
     "top_linking_titles": _report(report.top_linking_titles, PROFILE),
     "crawl_report": crawl_report,
+    "stream_report": stream_report,
 }

@@ -527,3 +527,4 @@ SQL["snapshot_frontier"] = SQL["applied_frontier"]
 # A stream gives what the batch gives.
 SQL["stream_ingest"] = SQL["page_rows"]
 SQL["stream_frontier_state"] = SQL["frontier_state"]
+SQL["stream_report"] = SQL["crawl_report"]

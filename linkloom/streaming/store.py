@@ -16,9 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from linkloom import schemas
 from linkloom.operators.ingest import apply_results
+from linkloom.operators.lookup import near
 from linkloom.profile import SiteProfile
 from linkloom.scratch import scratch_scope
 from linkloom.sources.tables import CrawlTables
+from linkloom.streaming import live_report
 
 _BATCH = "batch_id"
 _START = -1
@@ -30,16 +32,28 @@ def stream_results(spark: SparkSession, path: str, fmt: str = "parquet", **optio
     return reader.load(path)
 
 
-def _write_batch(root: str, batch_id: int, tables: CrawlTables, spark: SparkSession) -> None:
+def _write_batch(
+    root: str, batch_id: int, tables: CrawlTables, spark: SparkSession, counts: DataFrame
+) -> None:
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}/{_BATCH}={batch_id}")
+    counts.write.mode("overwrite").parquet(f"{root}/report/{_BATCH}={batch_id}")
     mark = spark.range(1, numPartitions=1)
     mark.write.mode("overwrite").parquet(f"{root}/commits/{_BATCH}={batch_id}")
 
 
-def create_store(spark: SparkSession, root: str, start: CrawlTables) -> None:
+def create_store(
+    spark: SparkSession, root: str, start: CrawlTables, profile: SiteProfile
+) -> None:
     """Write the tables a stream starts from (for instance loaded seeds)."""
-    _write_batch(root, _START, start, spark)
+    _write_batch(root, _START, start, spark, live_report.counts(start, None, profile))
+
+
+def read_report(spark: SparkSession, root: str) -> DataFrame:
+    """The link report from the counts of all committed batches (``live_report``)."""
+    marks = spark.read.parquet(f"{root}/commits").agg(F.max(_BATCH)).first()[0]
+    counts = spark.read.schema(f"{live_report.COUNTS}, {_BATCH} bigint").parquet(f"{root}/report")
+    return live_report.report(counts.filter(F.col(_BATCH) <= marks).drop(_BATCH))
 
 
 def latest_rows(history: DataFrame) -> DataFrame:
@@ -82,7 +96,10 @@ def batch_writer(
         with scratch_scope(spark, "micro-batch"):
             tables = read_store(spark, root, before=batch_id, history=True)
             applied = apply_results(results, tables, profile, enforce_robots, latest_rows)
-            _write_batch(root, batch_id, applied.added, spark)
+            added = applied.added
+            replaced = latest_rows(near(tables.frontier, added.frontier.select("url"), "url"))
+            counts = live_report.counts(added, replaced, profile)
+            _write_batch(root, batch_id, added, spark, counts)
 
     return write
 

@@ -244,7 +244,7 @@ def test_batches_equal_loop(spark, profile, tmp_path):
 def test_stream_equals_loop_and_replay_changes_nothing(spark, profile, tmp_path):
     seeds, batches, parsed = random_crawl(seed=12)
     source, root, checkpoint = (str(tmp_path / n) for n in ("in", "store", "checkpoint"))
-    store.create_store(spark, root, start_tables(spark, profile, seeds))
+    store.create_store(spark, root, start_tables(spark, profile, seeds), profile)
     for rows in batches:
         raw(spark, rows).coalesce(1).write.mode("append").parquet(source)
         store.start_ingest(
@@ -252,24 +252,36 @@ def test_stream_equals_loop_and_replay_changes_nothing(spark, profile, tmp_path)
         ).awaitTermination()
     want = expected_crawl(seeds, batches, parsed)
     assert view(store.read_store(spark, root)) == want
+    assert _live(spark, root, profile) == _report_rows(store.read_store(spark, root), profile)
     store.batch_writer(root, profile)(raw(spark, batches[2]), 2)
     assert view(store.read_store(spark, root)) == want
+    assert _live(spark, root, profile) == _report_rows(store.read_store(spark, root), profile)
     assert len(view(store.read_store(spark, root, before=0)).pages) == 0
 
     # A store started from the tables of another one goes on with the same stream.
     compact = str(tmp_path / "compact")
-    store.create_store(spark, compact, store.read_store(spark, root))
+    store.create_store(spark, compact, store.read_store(spark, root), profile)
     more = [result(article(500), 10_000, page("late"))]
     raw(spark, more).coalesce(1).write.mode("append").parquet(source)
     stream = store.stream_results(spark, source)
     store.start_ingest(stream, compact, checkpoint, profile).awaitTermination()
     want.handle(more, {more[0][5]: ("late", [])})
     assert view(store.read_store(spark, compact)) == want
+    assert _live(spark, compact, profile) == _report_rows(store.read_store(spark, compact), profile)
+
+
+def _report_rows(tables, profile):
+    return sorted(tuple(r) for r in report.crawl_report(tables, profile).collect())
+
+
+def _live(spark, root, profile):
+    """The report summed from the counts that each micro-batch wrote."""
+    return sorted(tuple(r) for r in store.read_report(spark, root).collect())
 
 
 def test_frontier_rows_are_looked_up_before_the_latest_is_taken(spark, profile, tmp_path):
     root = str(tmp_path / "store")
-    store.create_store(spark, root, start_tables(spark, profile, [article(1)]))
+    store.create_store(spark, root, start_tables(spark, profile, [article(1)]), profile)
     history = store.read_store(spark, root, history=True).frontier
     keys = spark.createDataFrame([(article(1),)], "url string")
     found = store.latest_rows(history.join(keys, "url", "left_semi"))
