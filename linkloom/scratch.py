@@ -48,8 +48,13 @@ def scratch_scope(spark: SparkSession, label: str) -> Iterator[None]:
         yield
     finally:
         _scope.reset(token)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage (scratch tables, partitions), if it exists."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

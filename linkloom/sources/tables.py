@@ -96,7 +96,7 @@ def update_tables(spark: SparkSession, root: str, added: CrawlTables, batch_id:
     reads. A status folder left without rows is deleted. Running the same batch again gives the
     same snapshot.
     """
-    from linkloom.scratch import stage
+    from linkloom.scratch import remove, stage
 
     dynamic = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
     before = {k: spark.conf.get(k, None) for k in dynamic}
@@ -115,17 +115,12 @@ def update_tables(spark: SparkSession, root: str, added: CrawlTables, batch_id:
         rewritten.write.mode("overwrite").partitionBy("status").parquet(f"{root}/frontier")
         filled = {r.status for r in rewritten.select("status").distinct().collect()}
         for status in set(statuses) - filled:
-            _delete(spark, f"{root}/frontier/status={status}")
+            remove(spark, f"{root}/frontier/status={status}")
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def read_tables(spark: SparkSession, root: str) -> CrawlTables:
     frames = {}
     for name, schema in schemas.TABLES.items():
