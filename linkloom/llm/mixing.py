@@ -179,7 +179,8 @@ def mix(
     cells = docs.select(*told).groupBy("_source", "_language", "_topic").agg(F.sum("_tokens").alias("_tokens"))
     cells = stage(cells, "cells")
     few = cells.count() <= _FEW_CELLS
-    # In one partition the many small windows need no exchange; more cells are spread.
+    # Raking totals use windows over all cells (no key), which Spark runs in one task at any cell
+    # count; with few cells they are put in one partition first, so no exchange is needed.
     cells = cells.coalesce(1) if few else cells
     raked = rake(cells, rounds, given) if tolerance is None else rake_until(cells, tolerance, rounds, given, few)
     fitted = stage(calibrate(raked.coalesce(1) if few else raked, keep), "fitted")
