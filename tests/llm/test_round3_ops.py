@@ -142,6 +142,34 @@ def test_hard_negatives_awkward_rows(spark):
     assert {r[0] for r in got} >= {0, 100, 200, 800}
 
 
+def _rowwise(rows):
+    """The contract in plain Python, rows told apart by their place."""
+    q = [(i, l if i % 7 else (l + 1) % 10, [math.floor(256 * x) for x in v]) for i, v, l in rows]
+    out = []
+    for k, (own, label, a) in enumerate(q):
+        if own % 100:
+            continue
+        scored = [(-sum(x * y for x, y in zip(a, v)), i, lab) for j, (i, lab, v) in enumerate(q) if j != k]
+        scored.sort(key=lambda t: t[:2])
+        for ps, pid in [(-s, i) for s, i, lab in scored if lab == label][:5]:
+            fit = [(-s, i) for s, i, lab in scored if lab != label and 30 * ps <= -100 * s <= 90 * ps][:10]
+            out += [(own, pid, r, nid, ps, ns) for r, (ns, nid) in enumerate(fit, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [0.3, 250_000.0])  # the larger one leaves 64 bits in percents
+def test_hard_negatives_repeated_keys_are_rows_of_their_own(spark, monkeypatch, size):
+    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", 100)  # twins fall into several tiles
+    rng = np.random.default_rng(3)
+    vec = lambda: [float(np.float32(x)) for x in np.clip(rng.normal(0.3, 1, 64), -1, 1) * size]
+    rows = [(i, vec(), i % 3) for i in range(250)]
+    rows += [r for r in rows if r[0] % 2 == 0]  # rows that come twice: anchors, positives, negatives
+    rows += [(100, vec(), 2), (100, vec(), 1), (33, vec(), 0)]  # the same key on other rows
+    got = sorted(tuple(r) for r in hard_negatives.mine(spark.createDataFrame([(*r, "x", "y") for r in rows], VECS)).collect())
+    assert got == _rowwise(rows)
+    assert any(r[0] == r[1] for r in got)  # a twin is another row
+
+
 def test_hard_negatives_scan_equals_full_scores():
     rng = np.random.default_rng(11)
     import pandas as pd
