@@ -25,7 +25,11 @@ bounded whatever the size of a group, and a frequent shingle is one list among m
 inside the tasks; Spark deals out lists, sets and tiles.
 
 Hashes of 64 bits stand for shingles and classes; two different sets of a corpus of a billion
-collide with a chance of about 3 in 100.
+collide with a chance of about 3 in 100. The lists of step 2 are shuffled by ``LIST_BITS`` bits of
+a shingle's hash: lists that fall together there are searched together, and the exact test decides.
+
+What is shuffled: one row of two numbers for each shingle of a sample, and the sets of classes that
+meet others, each a fixed number of times; the other joins are made on the rows that are left.
 
 Defined cases: null, empty and blank texts have no shingles and are alone; texts of fewer than
 five words are one shingle; repeated rows and equal texts share a class; a null key counts as
@@ -53,6 +57,7 @@ SHARE = 8  # the sample's surplus is one SHARE-th of the set
 SURPLUS = 40  # or this, so that a line shared by short texts is skipped, too
 CHUNK = 120_000  # shingles
 PER_CLASS = 100  # added to each set's size, so a chunk has a bounded number of classes, too
+LIST_BITS = 48
 _MAX_BROADCAST_KEYS = 2_000_000
 _LONG_RUN = 1 << 20
 
@@ -168,29 +173,35 @@ def _signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
     return map_texts(docs, [key, text], f"key {kind}, n long, cls long, sample array<long>", make)
 
 
+def _listed(signatures: DataFrame) -> DataFrame:
+    """(h, cls): the inverted lists, one row for each shingle of a sample."""
+    low = F.lit((1 << LIST_BITS) - 1)
+    return signatures.select(F.explode("sample").alias("_h"), "cls").select(F.col("_h").bitwiseAND(low).alias("h"), "cls")
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (h, cls, n) sorted by h and cls: those whose h has two classes or more, with the
+    """From rows (h, cls) sorted by h and cls: those whose h has two classes or more, with the
     list's length. A list too long to hold counts as the longest."""
 
-    def rows(h, c, n, df):
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, c, n, df)], ["h", "cls", "n", "df"])
+    def rows(h, c, df):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, c, df)], ["h", "cls", "df"])
 
-    held = [np.zeros(0, np.int64)] * 3
+    held = [np.zeros(0, np.int64)] * 2
     endless = None
     for batch in batches:
-        h, c, n = (np.concatenate((a, b.to_numpy())) for a, b in zip(held, batch.columns))
+        h, c = (np.concatenate((a, b.to_numpy())) for a, b in zip(held, batch.columns))
         if not len(h):
             continue
         first = np.ones(len(h), bool)
         first[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        h, c, n = h[first], c[first], n[first]
+        h, c = h[first], c[first]
         if endless is not None:
             same = h == endless
             if same.any():
-                yield rows(h[same], c[same], n[same], np.full(int(same.sum()), _LONG_RUN))
-            h, c, n = h[~same], c[~same], n[~same]
+                yield rows(h[same], c[same], np.full(int(same.sum()), _LONG_RUN))
+            h, c = h[~same], c[~same]
             if not len(h):
-                held = [h, c, n]
+                held = [h, c]
                 continue
             endless = None
         last = int(np.searchsorted(h, h[-1]))
@@ -198,12 +209,12 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.repeat(np.diff(np.append(starts, last)), np.diff(np.append(starts, last)))
         some = df > 1
         if some.any():
-            yield rows(h[:last][some], c[:last][some], n[:last][some], np.minimum(df[some], _LONG_RUN))
-        held = [h[last:], c[last:], n[last:]]
+            yield rows(h[:last][some], c[:last][some], np.minimum(df[some], _LONG_RUN))
+        held = [h[last:], c[last:]]
         if len(held[0]) >= _LONG_RUN:
             endless = h[-1]
             yield rows(*held, np.full(len(held[0]), _LONG_RUN))
-            held = [np.zeros(0, np.int64)] * 3
+            held = [np.zeros(0, np.int64)] * 2
     if len(held[0]) > 1:
         yield rows(*held, np.full(len(held[0]), len(held[0])))
 
@@ -296,7 +307,8 @@ def _search(table: pa.Table) -> pa.Table:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(cls, set) of the wanted classes, from the texts of one document each."""
+    """(cls, set) of the wanted classes, from the texts of one document each; a class comes again
+    if rows with its key are repeated."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -316,7 +328,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).join(
         side, F.col("_doc").eqNullSafe(F.col("key"))
     )
-    return map_texts(rows, ["_text", "cls"], "cls long, set binary", make).dropDuplicates(["cls"])
+    return map_texts(rows, ["_text", "cls"], "cls long, set binary", make)
 
 
 def _chunked(members: DataFrame) -> DataFrame:
@@ -328,11 +340,13 @@ def _chunked(members: DataFrame) -> DataFrame:
 
 def join_classes(docs: DataFrame, signatures: DataFrame, key: str, text: str) -> DataFrame:
     """(node, component) of the classes that are linked with another."""
-    listed = signatures.select(F.explode("sample").alias("h"), "cls", "n")
-    shared = listed.repartition("h").sortWithinPartitions("h", "cls").mapInArrow(
-        _shared, "h long, cls long, n long, df long"
+    shared = _listed(signatures).repartition("h").sortWithinPartitions("h", "cls").mapInArrow(
+        _shared, "h long, cls long, df long"
     )
-    per_class = shared.groupBy("cls", "n").agg(F.collect_list(F.struct("df", "h")).alias("lists"))
+    sizes = signatures.filter("n > 0").groupBy("cls").agg(F.max("n").alias("n"))
+    # Dealt by class before they are collected: plain rows take less room than begun lists.
+    per_class = shared.repartition("cls").groupBy("cls").agg(F.collect_list(F.struct("df", "h")).alias("lists"))
+    per_class = per_class.join(sizes, "cls")
     # The surplus of the smallest partner there can be.
     least = F.expr(f"(n * {PERCENT} + 99) div 100")
     of_least = F.expr(f"((n * {PERCENT} + 99) div 100 * {PERCENT} + 99) div 100")
@@ -350,6 +364,8 @@ def join_classes(docs: DataFrame, signatures: DataFrame, key: str, text: str) ->
     keys = signatures.groupBy("cls").agg(F.min("key").alias("key"))
     wanted = stage(keys.join(members.select("cls"), "cls", "left_semi").select("key", "cls"), "wanted")
     sets = stage(_sets(docs, wanted, key, text), "sets")
+    if sets.count() > wanted.count():
+        sets = stage(sets.dropDuplicates(["cls"]), "sets")
 
     last = members.groupBy("leader").agg(F.max("chunk").alias("last")).filter("last > 0")
     spread = members.filter("chunk = 0").join(last, "leader").select(
@@ -363,12 +379,14 @@ def join_classes(docs: DataFrame, signatures: DataFrame, key: str, text: str) ->
         "cls", "leader", "chunk", F.coalesce("component", "cls").alias("component")
     )
     now = stage(now, "now")
-    apart = kept.select("h", "cls").join(now, "cls").groupBy("h", "leader", "chunk").agg(
+    # Only lists whose classes are not all connected go on.
+    lists = kept.select("h", "cls").join(now, "cls")
+    mixed = lists.groupBy("h").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
+    mixed = stage(mixed.filter("_a <> _b").select("h"), "mixed")
+    apart = lists.join(mixed, "h", "left_semi").groupBy("h", "leader", "chunk").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
     apart = stage(apart, "chunk-lists")
-    mixed = apart.groupBy("h").agg(F.min("low").alias("_a"), F.max("high").alias("_b"), F.count(F.lit(1)).alias("_k"))
-    apart = apart.join(mixed.filter("_a <> _b AND _k > 1").select("h"), "h", "left_semi")
     a, b = apart.alias("a"), apart.alias("b")
     later = F.expr("(a.leader < b.leader OR (a.leader = b.leader AND a.chunk < b.chunk))")
     done = F.expr("a.leader = b.leader AND a.chunk = 0")
@@ -384,6 +402,10 @@ def join_classes(docs: DataFrame, signatures: DataFrame, key: str, text: str) ->
         own = [F.col("leader") == F.col(f"l{side}"), F.col("chunk") == F.col(f"c{side}")]
         part = pairs.join(now, own).select(*tile, "cls", "component", F.lit(side).alias("side"))
         rows = part if rows is None else rows.unionByName(part)
+    rows = stage(rows, "tile-rows")
+    few = stage(rows.select("cls").distinct(), "tile-classes")
+    if few.count() <= _MAX_BROADCAST_KEYS:  # the other sets are not shuffled
+        sets = sets.join(F.broadcast(few), "cls", "left_semi")
     more = rows.join(sets, "cls").groupBy(*tile).applyInArrow(_search, "u long, v long")
     more = stage(more, "more-links")
     return components(joined.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))

@@ -123,6 +123,25 @@ def test_ngram_join_in_small_tiles(spark, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("most", [ngram_join._MAX_BROADCAST_KEYS, 0])
+def test_ngram_join_shuffles_narrow_lists_and_no_other_sets(spark, monkeypatch, most):
+    """Lists are two numbers a shingle; a set comes once a class though rows with its key repeat,
+    and the second round reads the same sets whether its classes are broadcast or not."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 60, 60)) for _ in range(12)]
+    rows = [(i, t if i < 12 else " ".join(t.split()[: 60 - i % 5])) for i, t in enumerate(texts * 4)]
+    docs = spark.createDataFrame([*rows, *rows[::3], *rows[:6]], "doc_id long, text string")
+    signatures = ngram_join._signatures(docs, "doc_id", "text")
+    lists = ngram_join._listed(signatures)
+    assert lists.columns == ["h", "cls"]
+    assert lists.count() == signatures.selectExpr("sum(size(sample))").first()[0]
+    assert 0 <= lists.agg({"h": "min"}).first()[0] and lists.agg({"h": "max"}).first()[0] < 1 << 48
+    monkeypatch.setattr(ngram_join, "_MAX_BROADCAST_KEYS", most)
+    monkeypatch.setattr(ngram_join, "CHUNK", 300)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs).collect()}
+    assert got == _links(rows)
+
+
 def test_ngram_join_odd_rows(spark):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.join(odd_docs(spark)).collect())
     assert got[:4] == [(0, 11, 4), (1, 0, 1), (2, 0, 2), (3, 0, 3)]
