@@ -7,8 +7,9 @@ ordering column, so rows that are equal in it share a micro-batch and batches ar
 column's order; rows where it is null arrive first, as they sort first in a batch fold.
 
 The number of slices grows with the table (``rows_per_batch``), so a micro-batch stays bounded
-at any size. Slices are written by many tasks at once; nothing passes through the driver but
-the minimum and maximum of the column.
+at any size. The table is read once: it is dealt into a folder per slice, and each slice is copied
+from its own folder. Slices are written by many tasks at once; nothing passes through the driver
+but the minimum and maximum of the column.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from linkloom.scratch import remove, scratch_path
 
 #: Rows one micro-batch takes at most on even data; at least ``MIN_SLICES`` slices are made.
 ROWS_PER_BATCH = 2_000_000
@@ -34,6 +38,14 @@ def slice_bounds(df: DataFrame, order: Column, rows_per_batch: int = ROWS_PER_BA
     return [lo + width * (k + 1) for k in range(slices)]
 
 
+def _slice_of(bounds: list[int]) -> Column:
+    """The number of a row's slice; nulls of ``_order`` are in the first."""
+    if len(bounds) == 1:
+        return F.lit(0)
+    width = bounds[1] - bounds[0]
+    return F.coalesce(F.expr(f"int((_order - {bounds[0] - width}) div {width})"), F.lit(0))
+
+
 def replay(
     df: DataFrame,
     order: Column,
@@ -46,17 +58,18 @@ def replay(
     Returns the number of slices. ``order`` must be a long column (for instance microseconds of a
     time); slices are ranges of it, the first one with the nulls.
     """
+    spark = df.sparkSession
     keyed = df.withColumn("_order", order)
     bounds = slice_bounds(keyed, F.col("_order"), rows_per_batch)
-    low = None
-    for k, high in enumerate(bounds):
-        last = k == len(bounds) - 1
-        inside = F.col("_order") <= high if last else F.col("_order") < high
-        if low is not None:
-            inside = inside & (F.col("_order") >= low)
-        if k == 0:
-            inside = inside | F.col("_order").isNull()
-        keyed.filter(inside).drop("_order").write.mode("append").parquet(source)
+    dealt = scratch_path(spark, "slices")
+    # Hashes split a slice among tasks, so a slice has few files and no task a whole one.
+    keyed.withColumn("_slice", _slice_of(bounds)).drop("_order").repartitionByRange(
+        "_slice", F.xxhash64(*df.columns)
+    ).write.partitionBy("_slice").parquet(dealt)
+    schema = T.StructType([*df.schema, T.StructField("_slice", T.IntegerType())])
+    for k in range(len(bounds)):
+        rows = spark.read.schema(schema).parquet(dealt).filter(F.col("_slice") == k).drop("_slice")
+        rows.write.mode("append").parquet(source)
         run()
-        low = high
+    remove(spark, dealt)
     return len(bounds)

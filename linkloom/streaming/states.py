@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 from datetime import timedelta
 from operator import itemgetter
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -83,8 +84,8 @@ def stream_states(attempts: DataFrame, profile: SiteProfile, tie: str) -> DataFr
             if status != "queued":
                 break
         state.update((status, failures, due, error))
-        changed = (key[0], status, failures, due, error)
-        yield pd.DataFrame([changed], columns=_COLUMNS).astype({"next_fetch_at": "datetime64[ns]"})
+        changed = ([key[0]], [status], [failures], np.array([due], "datetime64[ns]"), [error])
+        yield pd.DataFrame(dict(zip(_COLUMNS, changed)))  # typed at once: this runs for each URL
 
     narrow = attempts.select("url", *(F.col(tie).alias(c) if c == "tie" else c for c in _DECIDING))
     deciding = narrow.mapInArrow(_first_of_each_url(limit), narrow.schema)

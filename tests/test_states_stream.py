@@ -71,3 +71,30 @@ def test_lookup_beyond_the_broadcast_bound_still_semi_joins(spark, tmp_path, mon
     plan = S.read_states(spark, root, 5, keys)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan and plan.index("Aggregate") < plan.index("LeftSemi")
     assert "broadcast" not in plan.lower()
+
+
+def test_replay_reads_the_table_the_same_few_times_at_any_number_of_slices(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from linkloom.streaming import replay
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).selectExpr("id", "if(id < 10, null, 7 * id - 3000) AS at")
+    rows = rows.mapInArrow(counted, rows.schema)
+    source, seen = str(tmp_path / "source"), []
+
+    def run():
+        seen.append(spark.read.schema(rows.schema).parquet(source).count())
+
+    slices = replay.replay(rows, F.col("at"), source, run, rows_per_batch=100)
+    assert slices == len(seen) == 10
+    assert seen == [109 + 99 * k for k in range(9)] + [1000]
+    back = spark.read.parquet(source).orderBy("id").collect()
+    assert [r["id"] for r in back] == list(range(1000)) and [r["at"] for r in back[9:11]] == [None, -2930]
+    assert read.value <= 4 * 1000
