@@ -307,19 +307,21 @@ def _search(table: pa.Table) -> pa.Table:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(cls, set) of the wanted classes, from the texts of one document each; a class comes again
-    if rows with its key are repeated."""
+    """(cls, leader, chunk, set) of the wanted classes, from the texts of one document each; a class
+    comes again if rows with its key are repeated."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            classes, sets = [], []
-            for t, cls in zip(batch.column(0), batch.column(1).to_pylist()):
+            own, sets = [], []
+            for k, (t, cls) in enumerate(zip(batch.column(0), batch.column(1).to_pylist())):
                 h = shingles(t.as_py())
                 if len(h) and _class_of(h) == cls:  # else another row with the same key
-                    classes.append(cls)
+                    own.append(k)
                     sets.append(h.tobytes())
+            at = pa.array(own, pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], ["cls", "set"]
+                [*(batch.column(k).take(at) for k in (1, 2, 3)), pa.array(sets, pa.binary())],
+                ["cls", "leader", "chunk", "set"],
             )
 
         return step
@@ -328,7 +330,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).join(
         side, F.col("_doc").eqNullSafe(F.col("key"))
     )
-    return map_texts(rows, ["_text", "cls"], "cls long, set binary", make)
+    return map_texts(
+        rows, ["_text", "cls", "leader", "chunk"], "cls long, leader long, chunk long, set binary", make
+    )
 
 
 def _chunked(members: DataFrame) -> DataFrame:
@@ -353,25 +357,28 @@ def join_classes(docs: DataFrame, signatures: DataFrame, key: str, text: str) ->
     surplus = F.greatest(F.ceil(least / SHARE), F.lit(SURPLUS))
     need = F.greatest(F.lit(1), F.least(of_least, surplus)).cast("int")
     short = F.slice(F.sort_array("lists"), F.lit(1), F.size("lists") - need + 1)
+    # One row a class: what is joined by class later does not carry it with each list.
     kept = per_class.filter(F.size("lists") >= need).select(
-        "cls", "n", F.explode(F.transform(short, lambda x: x["h"])).alias("h")
+        "cls", "n", F.transform(short, lambda x: x["h"]).alias("lists")
     )
     kept = stage(kept, "short-lists")
-    hubs = kept.groupBy("h").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    led = kept.join(hubs, "h").groupBy("cls", "n").agg(F.min("hub").alias("leader"))
+    listed = kept.select("cls", "n", F.explode("lists").alias("h"))
+    hubs = listed.groupBy("h").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    led = listed.join(hubs, "h").groupBy("cls", "n").agg(F.min("hub").alias("leader"))
     members = stage(_chunked(stage(led, "led")), "members")
 
     keys = signatures.groupBy("cls").agg(F.min("key").alias("key"))
-    wanted = stage(keys.join(members.select("cls"), "cls", "left_semi").select("key", "cls"), "wanted")
+    wanted = stage(keys.join(members, "cls").select("key", "cls", "leader", "chunk"), "wanted")
     sets = stage(_sets(docs, wanted, key, text), "sets")
     if sets.count() > wanted.count():
         sets = stage(sets.dropDuplicates(["cls"]), "sets")
 
     last = members.groupBy("leader").agg(F.max("chunk").alias("last")).filter("last > 0")
-    spread = members.filter("chunk = 0").join(last, "leader").select(
-        "cls", "leader", F.explode(F.sequence(F.lit(1).cast("long"), "last")).alias("chunk")
+    # ``last`` has at most a row for each ``CHUNK`` of all shingles.
+    spread = sets.filter("chunk = 0").join(F.broadcast(last), "leader").select(
+        "cls", "leader", F.explode(F.sequence(F.lit(1).cast("long"), "last")).alias("chunk"), "set"
     )
-    first = members.select("cls", "leader", "chunk").unionByName(spread).join(sets, "cls")
+    first = sets.unionByName(spread)
     edges = stage(first.groupBy("leader", "chunk").applyInArrow(_search, "u long, v long"), "links")
 
     joined = stage(components(edges), "joined")
@@ -379,10 +386,12 @@ def join_classes(docs: DataFrame, signatures: DataFrame, key: str, text: str) ->
         "cls", "leader", "chunk", F.coalesce("component", "cls").alias("component")
     )
     now = stage(now, "now")
-    # Only lists whose classes are not all connected go on.
-    lists = kept.select("h", "cls").join(now, "cls")
+    # Only lists whose classes are not all connected go on. Both uses of ``lists`` share one shuffle.
+    lists = kept.select("cls", "lists").join(now, "cls").select(
+        F.explode("lists").alias("h"), "leader", "chunk", "component"
+    )
     mixed = lists.groupBy("h").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
-    mixed = stage(mixed.filter("_a <> _b").select("h"), "mixed")
+    mixed = mixed.filter("_a <> _b").select("h")
     apart = lists.join(mixed, "h", "left_semi").groupBy("h", "leader", "chunk").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
@@ -403,6 +412,7 @@ def join_classes(docs: DataFrame, signatures: DataFrame, key: str, text: str) ->
         part = pairs.join(now, own).select(*tile, "cls", "component", F.lit(side).alias("side"))
         rows = part if rows is None else rows.unionByName(part)
     rows = stage(rows, "tile-rows")
+    sets = sets.select("cls", "set")
     few = stage(rows.select("cls").distinct(), "tile-classes")
     if few.count() <= _MAX_BROADCAST_KEYS:  # the other sets are not shuffled
         sets = sets.join(F.broadcast(few), "cls", "left_semi")

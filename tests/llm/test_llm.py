@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
+from linkloom import scratch
 from linkloom.llm import (
     components,
     hnsw_dedup,
@@ -142,6 +143,34 @@ def test_ngram_join_shuffles_narrow_lists_and_no_other_sets(spark, monkeypatch,
     assert got == _links(rows)
 
 
+def test_ngram_join_deals_sets_once(spark, monkeypatch):
+    """Sets know their chunk, so the search shuffles them once; lists are kept one row a class."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 60, 60)) for _ in range(6)]
+    rows = [(10 * i + k, " ".join(t.split()[: 60 - k])) for i, t in enumerate(texts) for k in range(6)]
+    staged = {}
+
+    def spy(df, label):
+        staged[label] = df._jdf.queryExecution().executedPlan().toString()
+        out = scratch.stage(df, label)
+        if label == "short-lists":
+            staged["rows"] = (out.count(), out.select("cls").distinct().count())
+        return out
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        monkeypatch.setattr(ngram_join, "stage", spy)
+        monkeypatch.setattr(ngram_join, "CHUNK", 300)
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == _links(rows)
+    assert "SortMergeJoin" not in staged["links"]
+    assert staged["rows"][0] == staged["rows"][1] > 0
+
+
 def test_ngram_join_odd_rows(spark):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.join(odd_docs(spark)).collect())
     assert got[:4] == [(0, 11, 4), (1, 0, 1), (2, 0, 2), (3, 0, 3)]
