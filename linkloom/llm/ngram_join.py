@@ -440,8 +440,14 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest key of their group, one for each group."""
-    joined = stage(join(docs, key, text), "groups")
-    first = joined.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_first"))
-    out = docs.join(first.distinct(), F.col(key).eqNullSafe(F.col("_first")), "left_semi")
-    repeated = joined.groupBy(key).count().filter("count > 1").limit(1).count()
+    own = F.col(key).eqNullSafe(F.col("component_id"))
+    keys = join(docs, key, text).groupBy(F.col(key).alias("_key")).agg(
+        F.max(own).alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    keys = stage(keys, "keys")
+    rest = keys.filter("NOT _first").select("_key")
+    if rest.count() <= _MAX_BROADCAST_KEYS:  # the texts are not shuffled
+        rest = F.broadcast(rest)
+    out = docs.join(rest, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    repeated = keys.filter("_rows > 1").limit(1).count()
     return out.dropDuplicates([key, text]) if repeated else out

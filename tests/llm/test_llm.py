@@ -171,6 +171,27 @@ def test_ngram_join_deals_sets_once(spark, monkeypatch):
     assert staged["rows"][0] == staged["rows"][1] > 0
 
 
+@pytest.mark.parametrize("most", [ngram_join._MAX_BROADCAST_KEYS, 0])
+def test_keep_first_shuffles_no_texts(spark, monkeypatch, most):
+    """The keys that go are broadcast, beyond the bound joined; repeated and null keys as before."""
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(5, words), (2, words), (7, words + " end"), (9, "quite another text of some words"), (9, words), (9, "x"), (None, "y"), (None, words), (3, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "_MAX_BROADCAST_KEYS", most)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        kept = ngram_join.keep_first(docs.filter("doc_id <> 9 AND doc_id <> 3"))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in plan) == (most == 0)
+        assert [tuple(r) for r in kept.collect()] == [(2, words)]
+        got = ngram_join.keep_first(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    want = [(2, words), (3, None), (9, "quite another text of some words"), (9, words), (9, "x"), (None, "y")]
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want + [(None, words)]), key=str)
+
+
 def test_ngram_join_odd_rows(spark):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.join(odd_docs(spark)).collect())
     assert got[:4] == [(0, 11, 4), (1, 0, 1), (2, 0, 2), (3, 0, 3)]
