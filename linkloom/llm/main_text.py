@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import map_texts
 from linkloom.llm.components import components
+from linkloom.llm.ngram_join import word_hashes
 from linkloom.scratch import stage
 
 RUN = 6
@@ -48,7 +50,8 @@ BUCKET_BYTES = 32 << 20
 _MAX_BROADCAST_BYTES = 32 << 20
 _MAX_BUCKETS = 1 << 16
 _SLICE = 1 << 16
-_SENTENCE_ENDS = tuple(".!?…。！？")
+_FEW_PAGES = 32  # whose hashes stay in a processor's cache
+_SENTENCE_ENDS = frozenset(".!?…。！？")
 CHROME, OPEN, CONTENT, ARTICLE = 0, 1, 2, 3
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -297,11 +300,16 @@ def cut(texts: list[str], covered: np.ndarray | None) -> str:
     for start, end in zip(edges[::2], edges[1::2]):
         drop[start:end] = end - start >= CUT
     kept, at = [], 0
+    before = np.concatenate(([0], np.cumsum(covered))).tolist()
     for text in texts:
         words = text.split(" ")
-        ends = [k for k, w in enumerate(words, 1) if w.endswith(_SENTENCE_ENDS)]
+        if before[at] == before[at + len(words)]:  # nothing is covered
+            kept += words
+            at += len(words)
+            continue
+        ends = [k for k, w in enumerate(words, 1) if w[-1:] in _SENTENCE_ENDS]
         for start, end in ((0, len(words)), *zip([0, *ends], [*ends, len(words)])):
-            if 100 * int(covered[at + start : at + end].sum()) >= COVER_PERCENT * (end - start):
+            if 100 * (before[at + end] - before[at + start]) >= COVER_PERCENT * (end - start):
                 drop[at + start : at + end] = True
         kept += [w for w, gone in zip(words, drop[at : at + len(words)]) if not gone]
         at += len(words)
@@ -329,12 +337,29 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _suffixes(numbers: _Numbers, hosts: list[str], pages: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(page, first token, hash of host and ``run`` tokens) of all suffixes that have so many."""
+def _numbered(numbers: _Numbers, pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens each page has, and the number of each token."""
     streams = [" ".join(texts).split(" ") if texts else [] for texts in pages]
     sizes = np.array([len(s) for s in streams], np.int64)
-    tokens = np.fromiter((numbers[w] for s in streams for w in s), np.uint64, int(sizes.sum()))
-    page = np.repeat(np.arange(len(pages)), sizes)
+    return sizes, np.fromiter(map(numbers.__getitem__, chain.from_iterable(streams)), np.uint64, int(sizes.sum()))
+
+
+def _hashed(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_numbered``, with other numbers, which are reckoned on the pages' bytes at once."""
+    streams = [" ".join(texts) for texts in pages if texts]
+    sizes = np.array([sum(t.count(" ") + 1 for t in texts) for texts in pages], np.int64)
+    return sizes, word_hashes(" ".join(streams).encode("utf-8", "surrogatepass"), cased=True)
+
+
+def _suffixes(
+    numbers: _Numbers, hosts: list[str], pages: list[list[str]], run: int, told: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(page, first token, hash of host and ``run`` tokens) of all suffixes that have so many.
+
+    ``told`` has the pages' sizes and the numbers of their tokens, if not those of ``_hashed``.
+    """
+    sizes, tokens = told or _hashed(pages)
+    page = np.repeat(np.arange(len(sizes)), sizes)
     first = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = np.flatnonzero(first + run <= sizes[page])
     h = np.array([numbers[f"host {x}"] for x in hosts], np.uint64)[page[at]]
@@ -352,10 +377,14 @@ def _signatures(numbers: _Numbers, hosts: list[str], pages: list[list[str]]) ->
     long = [k for k, t in enumerate(pages) if sum(x.count(" ") + 1 for x in t) >= RUN]
     if not long:
         return out
-    page, _, h = _suffixes(numbers, [hosts[k] for k in long], [pages[k] for k in long], 2)
-    first = np.flatnonzero(_starts(page))
-    least = np.stack([np.minimum.reduceat(_upper(h * f), first) for f in _FACTORS], 1)
-    for k, row in zip(long, least):
+    least = []
+    for a in range(0, len(long), _FEW_PAGES):
+        some = long[a : a + _FEW_PAGES]
+        texts = [pages[k] for k in some]
+        page, _, h = _suffixes(numbers, [hosts[k] for k in some], texts, 2, _numbered(numbers, texts))
+        first = np.flatnonzero(_starts(page))
+        least.append(np.stack([np.minimum.reduceat(_upper(h * f), first) for f in _FACTORS], 1))
+    for k, row in zip(long, np.concatenate(least)):
         bands = row[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
         keys = [
             int.from_bytes(hashlib.blake2b(f"{hosts[k]} {i} ".encode() + b.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -494,7 +523,7 @@ def _cut_pages(key: str):
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             hosts, pages = (batch.column(k).to_pylist() for k in (2, 3))
-            marks = [np.concatenate([_long(m) for m in x]) if x else None for x in batch.column(4).to_pylist()]
+            marks = [_long(b"".join(x)) if x else None for x in batch.column(4).to_pylist()]
             texts = []
             for host, page, own in zip(hosts, pages, marks):
                 covered = None

@@ -64,7 +64,8 @@ _LONG_RUN = 1 << 20
 _U = np.uint64
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
-_BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER] * _U(2) + _U(1)
+_CASED = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_BYTE = _CASED[_LOWER]
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 1 << 64)
@@ -86,8 +87,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of a UTF-8 text, A-Z in lower case."""
+def word_hashes(raw: bytes, cased: bool = False) -> np.ndarray:
+    """A 64-bit hash of each word of a UTF-8 text, A-Z in lower case unless ``cased``."""
+    value = _CASED if cased else _BYTE
     out = []
     at = 0
     while at < len(raw):
@@ -102,14 +104,14 @@ def word_hashes(raw: bytes) -> np.ndarray:
                 total = 0
                 for k in range(at, stop, _BLOCK):
                     part = np.frombuffer(raw, np.uint8, min(_BLOCK, stop - k), k)
-                    total += int((_BYTE[part] * _POWER[: len(part)]).sum()) * pow(_STEP, k - at, 1 << 64)
+                    total += int((value[part] * _POWER[: len(part)]).sum()) * pow(_STEP, k - at, 1 << 64)
                 out.append(_mix(np.array([total % (1 << 64)], np.uint64)))
                 at = stop
                 continue
         a = np.frombuffer(raw, np.uint8, end - at, at)
         edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[a], [True])).astype(np.int8)))
         begin, stop = edge[::2], edge[1::2]
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[a] * _POWER[: len(a)])))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value[a] * _POWER[: len(a)])))
         out.append(_mix((sums[stop] - sums[begin]) * _INVERSE[begin]))
         at = end
     return np.concatenate(out) if out else np.zeros(0, np.uint64)

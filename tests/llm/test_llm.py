@@ -202,6 +202,18 @@ def test_ngram_join_odd_rows(spark):
     assert ngram_join.join(no_docs(spark)).count() == 0
 
 
+def test_page_tokens_hashed_on_bytes():
+    """One number a token, told apart by case, for pages without text, too; cut sums each sentence."""
+    pages = [["Über den Fluß", "a A a"], [], ["x" * 300], ["a\u2003b c"], ["A"]]
+    sizes, numbers = main_text._hashed(pages)
+    tokens = [w for texts in pages for w in " ".join(texts).split(" ") if texts]
+    assert sizes.tolist() == [6, 0, 1, 2, 1] and len(numbers) == len(tokens)
+    assert len(set(zip(tokens, numbers.tolist()))) == len(set(tokens)) == len(set(numbers.tolist()))
+    assert [len(x) for x in main_text._hashed([[], []])] == [2, 0]
+    covered = np.array([1] * 4 + [0] * 3 + [1, 0, 0, 0, 0], bool)
+    assert main_text.cut(["One two three four.", "Five six seven", "a b c d e"], covered) == "Five six seven a b c d e"
+
+
 def test_long_texts_hash_like_short_ones(monkeypatch):
     text = ("Überall ist Text\t" * 300 + "z" * 2000 + " end ").encode()
     want = ngram_join.word_hashes(text)
