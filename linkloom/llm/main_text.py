@@ -7,11 +7,13 @@ style and the like are left out.
 
 The candidates of a page are its article zone; without one, its content zone; without that, its
 open blocks that are not mostly links; if there are none, all open blocks. The suffixes of the
-candidates' token streams are cut to ``RUN`` tokens and dealt by the hash of host and tokens into
-buckets of bounded size, each sorted: neighbours that agree form the runs that are repeated. A
-run on ``LEAST_PAGES`` distinct texts of a host or more is boilerplate, however many pages the
-host has. It is cut in every zone: a block or sentence that such runs cover mostly, and any stretch
-of ``CUT`` tokens that they cover. If nothing is left of a page, all its candidates are the text.
+candidates' token streams are cut to ``RUN`` tokens and hashed with their host. First the leading
+bits of all hashes are dealt in order, packed as gaps, into buckets of bounded size: where too few
+agree, no run is repeated. The whole hashes of the rest, few as a rule, are dealt and sorted:
+neighbours that agree form the runs that are repeated. A run on ``LEAST_PAGES`` distinct texts of
+a host or more is boilerplate, however many pages the host has. It is cut in every zone: a block
+or sentence that such runs cover mostly, and any stretch of ``CUT`` tokens that they cover. If
+nothing is left of a page, all its candidates are the text.
 
 Copies of an article repeat it rightly, so pages with equal or nearly equal candidates count once.
 Nearly equal: pages of a host that share a band of minimum hashes over pairs of tokens, and agree
@@ -31,7 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import map_texts
@@ -50,6 +52,9 @@ BUCKET_BYTES = 32 << 20
 _MAX_BROADCAST_BYTES = 32 << 20
 _MAX_BUCKETS = 1 << 16
 _SLICE = 1 << 16
+_PART = 1 << 21  # characters of pages hashed at once
+_CHUNK = 1 << 22  # suffixes whose hashes are sorted and packed at once
+_MAX_FILTER_BITS = 28
 _FEW_PAGES = 32  # whose hashes stay in a processor's cache
 _SENTENCE_ENDS = frozenset(".!?…。！？")
 CHROME, OPEN, CONTENT, ARTICLE = 0, 1, 2, 3
@@ -432,8 +437,176 @@ def _starts(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _dealt(buckets: int):
-    """Batch function: distinct suffixes of the units and the units' groups, one row a bucket."""
+def _packed(values: np.ndarray, span: int) -> bytes:
+    """Sorted numbers below ``span``, repeats allowed: their low bytes, and what is above them as
+    steps in unary (Elias-Fano), so that close numbers take little more than a byte."""
+    n = len(values)
+    width = 1 if 8 * n + (span >> 8) <= 16 * n + (span >> 16) else 2
+    steps = (values >> np.uint64(8 * width)).astype(np.int64) + np.arange(n)
+    unary = np.zeros(int(steps[-1]) + 1 if n else 0, np.uint8)
+    unary[steps] = 1
+    low = (values & np.uint64((1 << 8 * width) - 1)).astype(f"<u{width}")
+    return bytes([width]) + n.to_bytes(8, "little") + low.tobytes() + np.packbits(unary).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    width, n = raw[0], int.from_bytes(raw[1:9], "little")
+    low = np.frombuffer(raw, f"<u{width}", n, 9)
+    steps = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, offset=9 + n * width)))
+    return ((steps - np.arange(n)).astype(np.uint64) << np.uint64(8 * width)) | low
+
+
+def _order(h: np.ndarray) -> np.ndarray:
+    """What sorts numbers; those that leave room for their place are sorted with it."""
+    bits = len(h).bit_length()
+    if not len(h) or int(h.max()).bit_length() + bits > 64:
+        return np.argsort(h)
+    return (np.sort((h << np.uint64(bits)) | np.arange(len(h), dtype=np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _few_groups(h: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes, each with its distinct groups, but no more of them than ``LEAST_PAGES``."""
+    order = _order(h)
+    h, group = h[order], group[order]
+    new = _starts(h)
+    shared = np.flatnonzero(~(new & np.append(new[1:], True)))
+    group[shared] = group[shared][np.lexsort((group[shared], h[shared]))]
+    new |= _starts(group)
+    h, group = h[new], group[new]
+    place = np.arange(len(h))
+    few = place - np.maximum.accumulate(np.where(_starts(h), place, 0)) < LEAST_PAGES
+    return h[few], group[few]
+
+
+def _enough(h: np.ndarray) -> np.ndarray:
+    """Of sorted hashes, those that stand there ``LEAST_PAGES`` times or more, once each."""
+    often = h[LEAST_PAGES - 1 :][h[LEAST_PAGES - 1 :] == h[: len(h) - LEAST_PAGES + 1]]
+    return often[_starts(often)]
+
+
+def _passing(h: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Places of the hashes whose leading bits are marked in ``bitmap``."""
+    at = h >> np.uint64(65 - (8 * len(bitmap)).bit_length())
+    return np.flatnonzero((bitmap[at >> np.uint64(3)] << (at & np.uint64(7)).astype(np.uint8)) & np.uint8(128))
+
+
+def _parts(pages: list[list[str]]):
+    """(from, to) of pages that have ``_PART`` characters or so, one page at least."""
+    start = size = 0
+    for k, texts in enumerate(pages, 1):
+        size += sum(map(len, texts))
+        if size >= _PART or k == len(pages):
+            yield start, k
+            start, size = k, 0
+
+
+def _chunks(batches, bitmap: np.ndarray | None = None):
+    """Hashes of all suffixes that pass ``bitmap``, and the groups of their pages, in chunks."""
+    numbers = _Numbers()
+    held, count = [], 0
+    for batch in batches:
+        hosts, pages, group = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy()
+        for a, b in _parts(pages):
+            page, _, h = _suffixes(numbers, hosts[a:b], pages[a:b], RUN)
+            if bitmap is not None:
+                at = _passing(h, bitmap)
+                page, h = page[at], h[at]
+            held.append((h, group[a + page]))
+            count += len(h)
+            if count >= _CHUNK:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, count = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def _by_bucket(h: np.ndarray, bits: int, buckets: int):
+    """(bucket, from, to) of sorted hashes of ``bits`` bits, by the leading ones."""
+    edges = [b << (bits - buckets.bit_length() + 1) for b in range(1, buckets)]
+    ends = [0, *np.searchsorted(h, np.array(edges, np.uint64)).tolist(), len(h)]
+    return ((b, i, j) for b, (i, j) in enumerate(zip(ends, ends[1:])) if i < j)
+
+
+def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[]] * len(names)
+    types = (pa.int64(), *[pa.binary()] * (len(names) - 1))
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+
+def _sketch(bits: int, buckets: int):
+    """The leading ``bits`` of all suffixes' hashes, packed, a chunk's part of a bucket in a row.
+
+    One for each group of a chunk that has them, ``LEAST_PAGES`` at most.
+    """
+
+    def work(batches):
+        for h, group in _chunks(batches):
+            h, _ = _few_groups(h >> np.uint64(64 - bits), group)
+            span = (1 << bits) // buckets
+            yield _rows(
+                [(b, _packed(h[i:j] - np.uint64(b * span), span)) for b, i, j in _by_bucket(h, bits, buckets)],
+                ["bucket", "hashes"],
+            )
+
+    return work
+
+
+def _often(span: int):
+    """Those of a bucket that stand there often enough to be repeated."""
+
+    def of_bucket(table: pa.Table) -> pa.Table:
+        own = _enough(np.sort(np.concatenate([_unpacked(x.as_py()) for x in table["hashes"]])))
+        found = {"bucket": pa.array([table["bucket"][0].as_py()], pa.int64()), "n": pa.array([len(own)], pa.int64())}
+        return pa.table({**found, "hashes": pa.array([_packed(own, span)], pa.binary())}).slice(0, min(1, len(own)))
+
+    return of_bucket
+
+
+def _bitmap(often: DataFrame, bits: int, buckets: int, count: int) -> np.ndarray:
+    """Which leading bits of a hash stand there often: at most 2 ** ``_MAX_FILTER_BITS`` marks."""
+    left = min(bits, _MAX_FILTER_BITS, max(20, count.bit_length() + 5))
+    size = (1 << left) // buckets
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = []
+            for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                marks = np.zeros(size, bool)
+                marks[_unpacked(raw) >> np.uint64(bits - left)] = True
+                rows.append((bucket, np.packbits(marks).tobytes()))
+            return _rows(rows, ["bucket", "marks"])
+
+        return step
+
+    out = np.zeros((1 << left) // 8, np.uint8)
+    for row in map_texts(often, ["bucket", "hashes"], "bucket long, marks binary", make).collect():
+        out[row.bucket * size // 8 : (row.bucket + 1) * size // 8] = np.frombuffer(row.marks, np.uint8)
+    return out
+
+
+def _shared(bitmap: np.ndarray, buckets: int):
+    """The suffixes that pass, with groups that have them, a chunk's part of a bucket in a row."""
+
+    def work(batches):
+        for h, group in _chunks(batches, bitmap):
+            h, group = _few_groups(h, group)
+            yield _rows(
+                [(b, group[i:j].tobytes(), h[i:j].tobytes()) for b, i, j in _by_bucket(h, 64, buckets)],
+                ["bucket", "groups", "hashes"],
+            )
+
+    return work
+
+
+def _repeats(table: pa.Table) -> pa.Table:
+    """The suffixes of a bucket that enough groups have."""
+    h, group = (np.concatenate([np.frombuffer(x.as_py(), t) for x in table[k]]) for k, t in (("hashes", np.uint64), ("groups", np.int64)))
+    return pa.table({"hashes": pa.array([_enough(_few_groups(h, group)[0]).tobytes()], pa.binary())})
+
+
+def _dealt(buckets: int, bitmap: np.ndarray | None = None):
+    """Batch function: distinct suffixes of the units that pass ``bitmap`` and the units' groups,
+    one row a bucket."""
 
     def make():
         numbers = _Numbers()
@@ -445,6 +618,9 @@ def _dealt(buckets: int):
                 host, texts, group = (part.column(k).take(pa.array(firsts)) for k in (1, 2, 3))
                 group = group.to_numpy()
                 page, _, h = _suffixes(numbers, host.to_pylist(), texts.to_pylist(), RUN)
+                if bitmap is not None:
+                    at = _passing(h, bitmap)
+                    page, h = page[at], h[at]
                 bucket = (h >> np.uint64(48)).astype(np.int64) % buckets
                 order = np.lexsort((h, page, bucket))
                 page, h, bucket = page[order], h[order], bucket[order]
@@ -517,30 +693,55 @@ def _read_pages():
     return step
 
 
-def _cut_pages(key: str):
+def _cut_pages(key: str, repeats: np.ndarray | None = None):
+    """Batch function: the pages' texts without what is repeated: ``repeats``, or their own marks."""
+
+    def marked(page: np.ndarray, h: np.ndarray, marks: list) -> np.ndarray:
+        ends = np.searchsorted(page, np.arange(len(marks) + 1)).tolist()
+        at = [
+            i + np.flatnonzero(np.isin(h[i:j] & np.uint64((1 << 48) - 1), _long(b"".join(own))))
+            for i, j, own in zip(ends, ends[1:], marks)
+            if own
+        ]
+        return np.concatenate(at) if at else np.zeros(0, np.int64)
+
+    def among(h: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+        at = _passing(h, bitmap)
+        return at[repeats[np.minimum(np.searchsorted(repeats, h[at]), len(repeats) - 1)] == h[at]]
+
     def make():
         numbers = _Numbers()
+        if repeats is not None and len(repeats):
+            left = max(20, len(repeats).bit_length() + 5)
+            bits = np.zeros(1 << left, bool)
+            bits[repeats >> np.uint64(64 - left)] = True
+            bitmap = np.packbits(bits)
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            hosts, pages = (batch.column(k).to_pylist() for k in (2, 3))
-            marks = [_long(b"".join(x)) if x else None for x in batch.column(4).to_pylist()]
-            texts = []
-            for host, page, own in zip(hosts, pages, marks):
-                covered = None
-                if own is not None:
-                    _, first, h = _suffixes(numbers, [host], [page], RUN)
-                    at = first[np.isin(h & np.uint64((1 << 48) - 1), own)]
-                    size = sum(t.count(" ") + 1 for t in page)
-                    step_at = np.bincount(at, minlength=size + 1) - np.bincount(at + RUN, minlength=size + 1)
-                    covered = np.cumsum(step_at)[:size] > 0
-                texts.append(cut(page, covered))
-            return pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), pa.array(texts, pa.string()),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                ],
-                [key, "url", "text", "n_chars"],
-            )
+        def step(batch: pa.RecordBatch):
+            every = [batch.column(k).to_pylist() for k in range(2, batch.num_columns)]
+            for a, b in _parts(every[1]):
+                hosts, pages, *marks = (x[a:b] for x in every)
+                at = ()
+                if repeats is None or len(repeats):
+                    told = _hashed(pages)
+                    page, first, h = _suffixes(numbers, hosts, pages, RUN, told)
+                    at = among(h, bitmap) if repeats is not None else marked(page, h, *marks)
+                if len(at):
+                    ends = np.cumsum(told[0])
+                    start = (ends - told[0])[page[at]] + first[at]
+                    size = int(ends[-1])
+                    steps = np.bincount(start, minlength=size + 1) - np.bincount(start + RUN, minlength=size + 1)
+                    covered = np.cumsum(steps)[:size] > 0
+                    texts = [cut(p, covered[e - n : e]) for p, e, n in zip(pages, ends.tolist(), told[0].tolist())]
+                else:
+                    texts = [cut(p, None) for p in pages]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0)[a:b], batch.column(1)[a:b], pa.array(texts, pa.string()),
+                        pa.array([len(t) for t in texts], pa.int64()),
+                    ],
+                    [key, "url", "text", "n_chars"],
+                )
 
         return step
 
@@ -553,23 +754,37 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     told = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), html, host.alias("host"))
     schema = f"key {key_type}, url string, host string, unit long, bands array<long>, signature binary, texts array<string>"
-    read = stage(map_texts(told, ["key", "url", html, "host"], schema, lambda: _read_pages()), "candidates")
+    read = stage(map_texts(told, ["key", "url", html, "host"], schema, lambda: _read_pages()), "candidates", "zstd")
     size = F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t))
     volume = read.agg(F.sum(size)).first()[0] or 0
     buckets = min(_MAX_BUCKETS, 1 << (64 + volume // BUCKET_BYTES - 1).bit_length())
-    bands = read.filter("bands IS NOT NULL").groupBy("unit").agg(
+    signed = read.filter("bands IS NOT NULL").groupBy("unit").agg(
         F.first("bands").alias("bands"), F.first("signature").alias("signature")
     )
-    bands = bands.select("unit", "signature", F.explode("bands").alias("band"))
+    bands = signed.select("unit", F.explode("bands").alias("band"))
+    bands = bands.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("band"))).filter("n > 1")
+    bands = bands.join(signed.select("unit", "signature"), "unit").select("unit", "signature", "band")
     near = bands.groupBy(F.pmod(F.xxhash64("band"), F.lit(buckets))).applyInArrow(_near, "u long, v long")
     groups = stage(components(near), "groups").select(F.col("node").alias("unit"), F.col("component").alias("_group"))
     if groups.count() * 16 <= _MAX_BROADCAST_BYTES:
         groups = F.broadcast(groups)
     grouped = read.select("unit", "host", "texts").join(groups, "unit", "left")
     grouped = grouped.withColumn("group", F.coalesce("_group", "unit"))
+    out = f"`{key}` {key_type}, url string, text string, n_chars long"
+    bits = max(20, (2 * volume).bit_length())
+    told = grouped.select("host", "texts", "group")
+    sketch = told.mapInArrow(_sketch(bits, buckets), "bucket long, hashes binary").groupBy("bucket")
+    often = stage(sketch.applyInArrow(_often((1 << bits) // buckets), "bucket long, n long, hashes binary"), "often")
+    count = often.agg(F.sum("n")).first()[0] or 0
+    bitmap = _bitmap(often, bits, buckets, count)
+    if 8 * count <= _MAX_BROADCAST_BYTES:  # the repeats go to every task: neither marks nor texts are shuffled
+        shared = told.mapInArrow(_shared(bitmap, buckets), "bucket long, groups binary, hashes binary")
+        found = shared.groupBy("bucket").applyInArrow(_repeats, "hashes binary").collect()
+        repeats = np.sort(np.frombuffer(b"".join(x.hashes for x in found), np.uint64))
+        return map_texts(read, ["key", "url", "host", "texts"], out, _cut_pages(key, repeats))
     dealt = map_texts(
         grouped, ["unit", "host", "texts", "group"],
-        "bucket long, units binary, groups binary, local binary, hashes binary", _dealt(buckets),
+        "bucket long, units binary, groups binary, local binary, hashes binary", _dealt(buckets, bitmap),
     )
     marks = stage(dealt.groupBy("bucket").applyInArrow(_of_bucket, "unit long, marks binary"), "marks")
     weight = marks.agg(F.sum(F.octet_length("marks") + 16)).first()[0] or 0
@@ -577,7 +792,4 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     if weight <= _MAX_BROADCAST_BYTES:  # texts are not shuffled
         marks = F.broadcast(marks)
     marked = read.join(marks, "unit", "left")
-    return map_texts(
-        marked, ["key", "url", "host", "texts", "marks"],
-        f"`{key}` {key_type}, url string, text string, n_chars long", _cut_pages(key),
-    )
+    return map_texts(marked, ["key", "url", "host", "texts", "marks"], out, _cut_pages(key))

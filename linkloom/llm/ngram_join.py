@@ -72,13 +72,24 @@ _BACK = pow(_STEP, -1, 1 << 64)
 _BLOCK = 1 << 20
 
 
-def _powers(base: int) -> np.ndarray:
-    out = np.full(_BLOCK + 1, base, np.uint64)
+def _powers(base: int, size: int = _BLOCK + 1) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-_POWER, _INVERSE = _powers(_STEP), _powers(_BACK)
+class _Powers(dict):
+    """The powers of a number. A task reckons them itself, they are not sent with its code."""
+
+    def __missing__(self, base: int) -> np.ndarray:
+        out = self[base] = _powers(base)
+        return out
+
+    def __reduce__(self):
+        return _Powers, ()
+
+
+_POWERS = _Powers()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -90,6 +101,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def word_hashes(raw: bytes, cased: bool = False) -> np.ndarray:
     """A 64-bit hash of each word of a UTF-8 text, A-Z in lower case unless ``cased``."""
     value = _CASED if cased else _BYTE
+    power, inverse = _POWERS[_STEP], _POWERS[_BACK]
     out = []
     at = 0
     while at < len(raw):
@@ -104,15 +116,15 @@ def word_hashes(raw: bytes, cased: bool = False) -> np.ndarray:
                 total = 0
                 for k in range(at, stop, _BLOCK):
                     part = np.frombuffer(raw, np.uint8, min(_BLOCK, stop - k), k)
-                    total += int((value[part] * _POWER[: len(part)]).sum()) * pow(_STEP, k - at, 1 << 64)
+                    total += int((value[part] * power[: len(part)]).sum()) * pow(_STEP, k - at, 1 << 64)
                 out.append(_mix(np.array([total % (1 << 64)], np.uint64)))
                 at = stop
                 continue
         a = np.frombuffer(raw, np.uint8, end - at, at)
         edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[a], [True])).astype(np.int8)))
         begin, stop = edge[::2], edge[1::2]
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value[a] * _POWER[: len(a)])))
-        out.append(_mix((sums[stop] - sums[begin]) * _INVERSE[begin]))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value[a] * power[: len(a)])))
+        out.append(_mix((sums[stop] - sums[begin]) * inverse[begin]))
         at = end
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from linkloom import scratch
@@ -572,6 +573,55 @@ def test_main_text_marks_equal_the_plain_search():
         assert np.array_equal(got, want)
 
 
+def test_main_text_code_carries_no_tables():
+    """Tasks get code without the hash tables, which every executor would write to its disk."""
+    for make in (main_text._read_pages, main_text._dealt(4), main_text._cut_pages("page_id"), ngram_join.word_hashes):
+        ngram_join.word_hashes(b"tables that are made here")
+        assert len(cloudpickle.dumps(make)) < 200_000
+
+
+def test_main_text_sketch_is_narrow_and_keeps_repeats():
+    """Few bytes a suffix; what three groups share passes the bitmap, single suffixes mostly do not."""
+    rng = np.random.default_rng(12)
+    notice = "please sign up today for the daily letter of this site"
+    pages = [[" ".join(f"w{k}" for k in rng.integers(0, 1 << 40, 300)), notice] for _ in range(200)]
+    pages += [["only two pages have this line of words in common"]] * 2 + [[], ["a b"]]
+    group = np.arange(len(pages))
+    bits, buckets = 20, 4
+    rows = []
+    for part in (slice(0, 100), slice(100, None)):
+        n = len(pages[part])
+        batch = pa.RecordBatch.from_arrays([pa.array(["h"] * n), pa.array(pages[part], pa.list_(pa.string())), pa.array(group[part])], ["host", "texts", "group"])
+        rows += [r for out in main_text._sketch(bits, buckets)([batch]) for r in out.to_pylist()]
+    _, _, h = main_text._suffixes(main_text._Numbers(), ["h"] * len(pages), pages, main_text.RUN)
+    assert sum(len(r["hashes"]) for r in rows) < 2 * len(h)
+    often = []
+    for bucket in range(buckets):
+        own = main_text._often((1 << bits) // buckets)(pa.Table.from_pylist([r for r in rows if r["bucket"] == bucket]))
+        often += [main_text._unpacked(r["hashes"]) + np.uint64(bucket * (1 << bits) // buckets) for r in own.to_pylist()]
+    marks = np.zeros(1 << bits, bool)
+    marks[np.concatenate(often)] = True
+    passing = main_text._passing(h, np.packbits(marks))
+    values, counts = np.unique(h, return_counts=True)
+    assert set(values[counts >= 3]) <= set(h[passing].tolist()) and len(set(h[passing].tolist())) < len(values) // 20
+    for width in (1 << 12, 1 << 40):
+        some = np.sort(rng.integers(0, width, 500).astype(np.uint64))
+        assert np.array_equal(main_text._unpacked(main_text._packed(some, width)), some)
+    few = main_text._few_groups(np.array([5, 1, 5, 5, 5, 5, 9], np.uint64), np.array([2, 8, 2, 3, 1, 4, 2]))
+    assert [x.tolist() for x in few] == [[1, 5, 5, 5, 9], [8, 1, 2, 3, 2]]
+
+
+def test_main_text_compares_few_signatures(spark):
+    """Near copies are found among pages that share a band; a lone page takes no part."""
+    rng = np.random.default_rng(13)
+    story = [f"s{k}" for k in range(120)]
+    rows = [(k, "http://h/", f"<p>{' '.join(story[:-1] + [f'x{k}'])}</p>") for k in range(6)]
+    rows += [(k, "http://h/", "<p>" + " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 60)) + "</p>") for k in range(6, 30)]
+    rows += [rows[0], rows[7]]
+    got = main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in got) == sorted((k, h[3:-4]) for k, _, h in rows)
+
+
 @pytest.mark.parametrize("element", ["article", "main", "div id=content"])
 def test_main_text_cuts_boilerplate_in_every_zone(spark, element):
     words = np.random.default_rng(9)
